@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +25,29 @@ REPORT_SCHEMA = (
     "changes bigint, behind_rows bigint, undated_rows bigint, finished_at timestamp, "
     "seconds double, error string"
 )
+_COUNTS = ("feed_rows", "changes", "behind_rows", "undated_rows")
+
+# The setting, and the rule that would replace a plan whose result turns out
+# empty, and with it the counters inside that plan.
+_EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
+_DROPS_COUNTERS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+
+
+@contextmanager
+def keeping_counters(spark: SparkSession):
+    """Let counters report also when nothing changed, by leaving out that one rule."""
+    before = spark.conf.get(_EXCLUDED, None)
+    if before and _DROPS_COUNTERS in before:
+        yield
+        return
+    spark.conf.set(_EXCLUDED, f"{before},{_DROPS_COUNTERS}" if before else _DROPS_COUNTERS)
+    try:
+        yield
+    finally:
+        if before:
+            spark.conf.set(_EXCLUDED, before)
+        else:
+            spark.conf.unset(_EXCLUDED)
 
 
 def load_feed(
@@ -39,10 +63,13 @@ def load_feed(
     """Append what a conformed feed changes to the log, in one write; return the counts.
 
     Counting rides on that write. Only when rows are held back and ``held_path`` is given
-    does a second job run, to store them.
+    does a second job run, to store them. An empty feed writes nothing.
     """
     spark = conformed.sparkSession
     log = read_log(spark, log_path, spec) if table_in_log(spark, log_path, spec) else None
+    action = "initial" if log is None else "incremental"
+    if conformed.isEmpty():
+        return {"action": action, **dict.fromkeys(_COUNTS, 0)}
     read, written = Observation(), Observation()
     cells = change_log(
         conformed, spec, semantics, log=log, emit_deletes=emit_deletes, hot=hot, counts=read
@@ -50,11 +77,12 @@ def load_feed(
     if held_path and semantics == STRICT:
         # planned before the append, so that it sees the log as the append saw it
         held = held_rows(conformed, spec, log, hot)
-    append_log(cells, log_path, spec)
+    with keeping_counters(spark):
+        append_log(cells, log_path, spec)
     counts = {**read.get, **written.get}
     if held_path and semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
         held.write.mode("append").parquet(f"{held_path.rstrip('/')}/{spec.log_folder}")
-    return {"action": "initial" if log is None else "incremental", **counts}
+    return {"action": action, **counts}
 
 
 def run(
@@ -107,7 +135,7 @@ def run(
             *spec.source.values(),
             detail["action"],
             detail["status"],
-            *[detail.get(name) for name in ("feed_rows", "changes", "behind_rows", "undated_rows")],
+            *[detail.get(name) for name in _COUNTS],
             datetime.now(timezone.utc),
             time.monotonic() - started,
             detail.get("error"),
@@ -116,7 +144,9 @@ def run(
     entries = specs(historical_tables(control, selector))
     if last_only:
         entries = entries[-1:]
-    return spark.createDataFrame(_in_parallel(process, entries, tables_at_once), REPORT_SCHEMA)
+    with keeping_counters(spark):
+        report = _in_parallel(process, entries, tables_at_once)
+    return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
 def _in_parallel(process: Callable, entries: list, workers: int) -> list:
