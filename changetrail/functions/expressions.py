@@ -39,14 +39,19 @@ def key_columns(spec: TableSpec) -> list[Column]:
     return [key.alias(name) for key, name in zip(padded, KEYS)]
 
 
-def event_micros(text: Column) -> Column:
-    """Change time as microseconds since the epoch; null where the text is no timestamp."""
-    return F.unix_micros(F.try_to_timestamp(text))
+def event_micros(time: Column, kind: T.DataType = T.StringType()) -> Column:
+    """Change time as microseconds since the epoch; null where it is no timestamp.
+
+    Times that are timestamps already are not taken through text.
+    """
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(time.cast("timestamp"))
+    return F.unix_micros(F.try_to_timestamp(time.cast("string")))
 
 
-def date_parts(text: Column) -> list[Column]:
-    """Year, month and day of a change time; null where the text is no timestamp."""
-    moment = F.try_to_timestamp(text)
+def date_parts(micros: Column) -> list[Column]:
+    """Year, month and day of a change time in microseconds; null where there is none."""
+    moment = F.timestamp_micros(micros)
     parts = (F.year(moment), F.month(moment), F.dayofmonth(moment))
     return [part.alias(name) for part, name in zip(parts, DATE_PARTS)]
 
@@ -54,16 +59,19 @@ def date_parts(text: Column) -> list[Column]:
 def sequence_text(df: DataFrame, names: Sequence[str]) -> Column:
     """Render ordering columns as one text whose text order is the columns' order.
 
-    Integers become 20 digits counted from the lowest bigint; dates, timestamps and text are
-    already ordered as text. Parts are joined by the lowest character there is.
+    Integers become a sign digit and 19 digits, counted from the lowest bigint when negative;
+    dates, timestamps and text are already ordered as text. Parts are joined by the lowest
+    character there is.
     """
     parts = []
     for name in names:
         value = column(name)
         kind = df.select(value).schema[0].dataType
         if isinstance(kind, T.IntegralType):
-            shifted = value.cast("decimal(20,0)") - F.lit(_LOWEST_BIGINT).cast("decimal(20,0)")
-            value = F.lpad(shifted.cast("decimal(20,0)").cast("string"), 20, "0")
+            number = value.cast("bigint")
+            negative = F.lpad((number - F.lit(_LOWEST_BIGINT)).cast("string"), 20, "0")
+            digits = F.lpad(number.cast("string"), 19, "0")
+            value = F.when(number >= 0, F.concat(F.lit("1"), digits)).otherwise(negative)
         elif isinstance(kind, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
             value = value.cast("string")
         else:

@@ -5,8 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import column, content_order, date_parts, key_columns, sequence_text, source_literals
-from ..spec import FEED_TIME, FEED_USER, FROM_LOG, OP, ORDER, TIME, USER, TableSpec
+from ..functions import (
+    column,
+    content_order,
+    date_parts,
+    event_micros,
+    key_columns,
+    sequence_text,
+    source_literals,
+)
+from ..spec import FEED_TIME, FEED_USER, FROM_LOG, MICROS, OP, ORDER, TIME, USER, TableSpec
 
 
 def _text_or_null(df: DataFrame, *names: str) -> Column:
@@ -25,7 +33,8 @@ def conform(feed: DataFrame, spec: TableSpec) -> DataFrame:
     """
     needed = [*spec.primary_key, *spec.sequence]
     missing = [name for name in needed if name not in feed.columns]
-    if FEED_TIME not in feed.columns and TIME not in feed.columns:
+    time_name = FEED_TIME if FEED_TIME in feed.columns else TIME
+    if time_name not in feed.columns:
         missing.append(FEED_TIME)
     if missing:
         raise ValueError(f"{spec.name}: the feed lacks {missing}")
@@ -34,7 +43,8 @@ def conform(feed: DataFrame, spec: TableSpec) -> DataFrame:
 
     op = _text_or_null(feed, OP)
     user = _text_or_null(feed, FEED_USER, USER)
-    time = _text_or_null(feed, FEED_TIME, TIME)
+    time = column(time_name)
+    micros = event_micros(time, feed.select(time).schema[0].dataType)
     audited = {name: _text_or_null(feed, name) for name in spec.audit_columns}
     if spec.sequence:
         order = sequence_text(feed, spec.sequence)
@@ -44,10 +54,11 @@ def conform(feed: DataFrame, spec: TableSpec) -> DataFrame:
         op.alias(OP),
         *source_literals(spec),
         *key_columns(spec),
-        time.alias(TIME),
+        time.cast("string").alias(TIME),
         user.alias(USER),
         F.lit(False).alias(FROM_LOG),
-        *date_parts(time),
+        *date_parts(micros),
+        micros.alias(MICROS),
         order.alias(ORDER),
         *[value.alias(name) for name, value in audited.items()],
     )

@@ -40,18 +40,24 @@ class Slices:
 
     table: DataFrame
     hashes: tuple[int, ...]
+    most_bounds: int
 
     def assign(self, rows: DataFrame, key_hash: Column, position: Column) -> DataFrame:
-        """Add ``slice``: how many bounds of the row's key lie at or before its position."""
-        reached = F.filter("blocks", lambda block: block["bounds"][0] <= position)
-        block = F.get(reached, F.size(reached) - 1)
-        within = F.size(F.filter(block["bounds"], lambda bound: bound <= position))
-        return (
-            rows.withColumn("key_hash", key_hash)
+        """Add ``slice``: how many bounds of the row's key lie at or before its position.
+
+        A binary search over the key's sorted bounds, one column per halving, so that it is
+        compiled code and costs some ten comparisons per row.
+        """
+        found = (
+            rows.withColumns({"key_hash": key_hash, "position": position})
             .join(F.broadcast(self.table), "key_hash", "left")
-            .withColumn("slice", F.coalesce(F.when(block.isNotNull(), block["first"] + within), F.lit(0)))
-            .drop("key_hash", "blocks")
+            .withColumn("slice", F.lit(0))
         )
+        for power in range(self.most_bounds.bit_length() - 1, -1, -1):
+            step = 1 << power
+            reached = F.get("bounds", F.col("slice") + (step - 1)) <= F.col("position")
+            found = found.withColumn("slice", F.col("slice") + F.when(reached, step).otherwise(0))
+        return found.drop("key_hash", "position", "bounds")
 
     def only_hot(self, rows: DataFrame, key_hash: Column) -> DataFrame:
         return rows.where(key_hash.isin(list(self.hashes)))
@@ -64,13 +70,13 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: HotKeys) -> Slices | None:
     """Return slice bounds for keys above ``rows_per_slice``, or None when there are none."""
-    keyed = rows.select(key_hash.alias("key_hash"), position.alias("position"))
-    if estimated_bytes(keyed) <= policy.check_above_bytes:
+    if estimated_bytes(rows) <= policy.check_above_bytes:
         return None
+    keyed = rows.select(key_hash.alias("key_hash"), position.alias("position"))
 
     # One pass over the key columns into a sketch of fixed size: no shuffle of the rows.
     heavy = keyed.agg(
-        F.expr(f"approx_top_k(key_hash, {policy.max_keys}, {policy.max_keys * 10})").alias("top")
+        F.expr(f"approx_top_k(key_hash, {policy.max_keys}, {policy.max_keys * 100})").alias("top")
     ).first()["top"]
     counts = {item["item"]: item["count"] for item in heavy or [] if item["count"] > policy.rows_per_slice}
     if not counts:
@@ -90,31 +96,17 @@ def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: Hot
         .agg(F.sort_array(F.collect_list("position")).alias("positions"))
         .collect()
     )
-    table = [
-        (row["key_hash"], _blocks(_cut(row["positions"], slices[row["key_hash"]])))
-        for row in sampled
-        if row["positions"]
-    ]
+    table = [(row["key_hash"], _cut(row["positions"], slices[row["key_hash"]])) for row in sampled]
     if not table:
         return None
     schema = T.StructType(
         [
             T.StructField("key_hash", T.LongType()),
-            T.StructField(
-                "blocks",
-                T.ArrayType(
-                    T.StructType(
-                        [
-                            T.StructField("first", T.IntegerType()),
-                            T.StructField("bounds", T.ArrayType(keyed.schema["position"].dataType)),
-                        ]
-                    )
-                ),
-            ),
+            T.StructField("bounds", T.ArrayType(keyed.schema["position"].dataType)),
         ]
     )
     local = rows.sparkSession.createDataFrame(table, schema)
-    return Slices(local, tuple(h for h, _ in table))
+    return Slices(local, tuple(h for h, _ in table), max(len(bounds) for _, bounds in table))
 
 
 def _cut(ordered: Sequence, pieces: int) -> list:
@@ -125,9 +117,3 @@ def _cut(ordered: Sequence, pieces: int) -> list:
         if not bounds or bounds[-1] != ordered[rank]:
             bounds.append(ordered[rank])
     return bounds
-
-
-def _blocks(bounds: Sequence) -> list[tuple[int, list]]:
-    """Group bounds into blocks of about sqrt(n), so that a lookup reads about 2*sqrt(n)."""
-    width = max(1, math.isqrt(len(bounds)))
-    return [(i, list(bounds[i : i + width])) for i in range(0, len(bounds), width)]

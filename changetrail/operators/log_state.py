@@ -15,6 +15,7 @@ from ..spec import (
     ENTITY,
     FROM_LOG,
     KEYS,
+    MICROS,
     OP,
     ORDER,
     REFERENCE,
@@ -101,6 +102,7 @@ def baseline(
         return F.when(reduce(Column.__and__, in_last_change), cell.getField("column_value"))
 
     time = F.col("last").getField(TIME)
+    micros = F.col("last").getField("at") if strict else event_micros(time)
     return state.select(
         F.col("last").getField(OP).alias(OP),
         *source_literals(spec),
@@ -108,7 +110,8 @@ def baseline(
         time.alias(TIME),
         F.col("last").getField(USER).alias(USER),
         F.lit(True).alias(FROM_LOG),
-        *date_parts(time),
+        *date_parts(micros),
+        micros.alias(MICROS),
         (F.col("last").getField(ORDER) if strict else F.lit(None).cast("string")).alias(ORDER),
         *[value(i).alias(name) for i, name in enumerate(spec.audit_columns)],
     )

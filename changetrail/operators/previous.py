@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions import column, event_micros
-from ..spec import FROM_LOG, KEYS, OP, ORDER, REFERENCE, TIME, USER, TableSpec, check_semantics
+from ..functions import column
+from ..spec import FROM_LOG, KEYS, MICROS, OP, ORDER, REFERENCE, TIME, USER, TableSpec, check_semantics
 from .hot_keys import HotKeys, Slices, find_slices
 
 # Order of rows at one position: slice header, then the log's state, then feed rows.
@@ -22,7 +22,7 @@ def versions(conformed: DataFrame, spec: TableSpec, semantics: str, emit_deletes
     and date parts are left out and added again after the shuffle.
     """
     check_semantics(semantics)
-    at = F.col(TIME) if semantics == REFERENCE else event_micros(F.col(TIME))
+    at = F.col(TIME if semantics == REFERENCE else MICROS)
     values = {name: column(name) for name in spec.audit_columns}
     if emit_deletes:
         kept = ~F.col(OP).eqNullSafe("D")

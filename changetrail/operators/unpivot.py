@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import any_cell_changed, cell_changed, date_parts, source_literals
+from ..functions import any_cell_changed, cell_changed, date_parts, event_micros, source_literals
 from ..spec import KEYS, LOG_COLUMNS, OP, ORDER, REFERENCE, TIME, USER, TableSpec
 from .previous import value_pairs
 
@@ -40,13 +40,14 @@ def unpivot_changes(
     changed = cell_changed(F.col("column_value"), F.col("previous_value"), semantics)
     if emit_deletes:
         changed = changed | F.col("deleted")
+    micros = event_micros(F.col(TIME)) if semantics == REFERENCE else F.col("at")
     rows = compared.where(row_changed(spec, semantics, emit_deletes)).select(
         OP,
         *source_literals(spec),
         *KEYS,
         TIME,
         USER,
-        *date_parts(F.col(TIME)),
+        *date_parts(micros),
         F.col(ORDER).alias("seq"),
         *([_first_delete().alias("deleted")] if emit_deletes else []),
         F.inline(F.array(*cells)),

@@ -107,7 +107,7 @@ def _compared(
 def _behind(compared: DataFrame) -> Column:
     if "logged_until" not in compared.columns:
         return F.lit(False)
-    return F.coalesce(position() < F.col("logged_until"), F.lit(False))
+    return F.col("at").isNotNull() & F.coalesce(position() < F.col("logged_until"), F.lit(False))
 
 
 def _undated(semantics: str) -> Column:

@@ -9,7 +9,6 @@ from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.conform import conform
 from ..operators.hot_keys import HotKeys
@@ -62,7 +61,8 @@ def load_feed(
 ) -> dict:
     """Append what a conformed feed changes to the log, in one write; return the counts.
 
-    Counting rides on that write. Only when rows are held back and ``held_path`` is given
+    Counting rides on that write; feed rows that Spark reads again after losing an executor
+    count again, which affects the report and nothing else. Only when rows are held back and ``held_path`` is given
     does a second job run, to store them. An empty feed writes nothing.
     """
     spark = conformed.sparkSession
@@ -73,12 +73,12 @@ def load_feed(
     read, written = Observation(), Observation()
     cells = change_log(
         conformed, spec, semantics, log=log, emit_deletes=emit_deletes, hot=hot, counts=read
-    ).observe(written, F.count(F.lit(1)).alias("changes"))
+    )
     if held_path and semantics == STRICT:
         # planned before the append, so that it sees the log as the append saw it
         held = held_rows(conformed, spec, log, hot)
     with keeping_counters(spark):
-        append_log(cells, log_path, spec)
+        append_log(cells, log_path, spec, written)
     counts = {**read.get, **written.get}
     if held_path and semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
         held.write.mode("append").parquet(f"{held_path.rstrip('/')}/{spec.log_folder}")

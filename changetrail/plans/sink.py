@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import storage
 from ..spec import LOG_PARTITIONS, SOURCE, TableSpec
 
 
-def append_log(cells: DataFrame, path: str, spec: TableSpec | None = None) -> None:
+def append_log(
+    cells: DataFrame, path: str, spec: TableSpec | None = None, counts: Observation | None = None
+) -> None:
     """Append change rows, partitioned by table, column and day.
 
     Rows are rebalanced by partition: small partitions become one file, and a partition with
     much of the data (a full load on one day) is split over tasks instead of filling one.
     With ``spec``, the rows are written into that table's own folder, so tables can be
-    appended side by side without sharing an output folder.
+    appended side by side without sharing an output folder. ``counts`` observes ``changes``,
+    in the stage that writes, so tasks that are run again are not counted twice.
     """
     path = path.rstrip("/")
     columns = list(LOG_PARTITIONS)
@@ -22,7 +26,10 @@ def append_log(cells: DataFrame, path: str, spec: TableSpec | None = None) -> No
         columns = [c for c in columns if c not in SOURCE]
         cells = cells.drop(*SOURCE)
         path = f"{path}/{spec.log_folder}"
-    cells.hint("rebalance", *columns).write.mode("append").partitionBy(*columns).parquet(path)
+    cells = cells.hint("rebalance", *columns)
+    if counts is not None:
+        cells = cells.observe(counts, F.count(F.lit(1)).alias("changes"))
+    cells.write.mode("append").partitionBy(*columns).parquet(path)
 
 
 def purge_table(spark: SparkSession, path: str, spec: TableSpec) -> bool:

@@ -19,7 +19,8 @@ ENTITY = SOURCE + KEYS
 DATE_PARTS = ("yearpart", "monthpart", "daypart")
 FROM_LOG = "from_log"
 ORDER = "change_order"
-CONFORMED = (OP, *ENTITY, TIME, USER, FROM_LOG, *DATE_PARTS, ORDER)
+MICROS = "change_micros"
+CONFORMED = (OP, *ENTITY, TIME, USER, FROM_LOG, *DATE_PARTS, MICROS, ORDER)
 LOG_PARTITIONS = (*SOURCE, "column_name", *DATE_PARTS)
 LOG_COLUMNS = (OP, *ENTITY, TIME, USER, *DATE_PARTS, "column_name", "column_value")
 

@@ -6,7 +6,7 @@ library reads back from files or logs is here one SELECT.
 
 from __future__ import annotations
 
-_TIES = "lpad(cast(cast({0} AS HUGEINT) + 9223372036854775808 AS VARCHAR), 20, '0')"
+_TIES = "'1' || lpad(cast({0} AS VARCHAR), 19, '0')"
 
 
 def _order(*columns: str) -> str:
@@ -193,6 +193,7 @@ _CONTROL = """SELECT 'server-' || cast(c_nationkey AS VARCHAR) AS rds_name,
     coalesce(c_acctbal > 5000 AND c_nationkey < 5, FALSE) AS "IsDelete" FROM customer"""
 
 _WHOLE_LOG = _log(EVENTS)
+_ALL_LOGS = " UNION ALL ".join(_log(versions) for versions in _THREE)
 
 
 def _run_counts() -> str:
@@ -295,9 +296,8 @@ ORACLE_SQL: dict[str, str] = {
         WHERE event_type = 'error' OR (moment, seq) < until""",
     "log_append_roundtrip": _WHOLE_LOG,
     "log_scan_table": _WHOLE_LOG,
-    "log_tables": """SELECT * FROM (VALUES ('prod', 'app', 'events'), ('prod', 'app', 'events_x'),
-        ('prod', 'ops', 'event_types')) t(rds, db, tb)""",
-    "log_tables_by_db": "SELECT * FROM (VALUES ('app', 'events,events_x'), ('ops', 'event_types')) t(db, tables)",
+    "log_tables": f"SELECT DISTINCT rds, db, tb FROM ({_ALL_LOGS})",
+    "log_tables_by_db": f"SELECT db, string_agg(DISTINCT tb, ',' ORDER BY tb) AS tables FROM ({_ALL_LOGS}) GROUP BY db",
     "purge_table": _log(EVENTS_X),
     "run_report": _run_counts(),
     "run_historical": _WHOLE_LOG,

@@ -180,7 +180,7 @@ def control_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("conform_feed")
 def conform_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(events_feed(spark, sf_dir), EVENTS)
+    return conform(events_feed(spark, sf_dir), EVENTS).drop("change_micros")
 
 
 @query("conform_missing_user")
@@ -295,7 +295,7 @@ def pivoted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _state(frame: DataFrame) -> DataFrame:
-    return frame.drop("change_order", "from_log")
+    return frame.drop("change_micros", "change_order", "from_log")
 
 
 @query("baseline_strict")
