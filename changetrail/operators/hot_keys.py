@@ -63,6 +63,10 @@ class Slices:
         return rows.where(key_hash.isin(list(self.hashes)))
 
 
+# Estimates from here on mean that Catalyst knows nothing of the size.
+UNKNOWN_BYTES = 1 << 60
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate, after partition and column pruning."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -11,7 +12,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from ..operators.conform import conform
-from ..operators.hot_keys import HotKeys
+from ..operators.hot_keys import UNKNOWN_BYTES, HotKeys, estimated_bytes
 from ..sources.control import historical_tables, specs
 from ..sources.feed import read_feed
 from ..sources.log import read_log, table_in_log
@@ -26,27 +27,51 @@ REPORT_SCHEMA = (
 )
 _COUNTS = ("feed_rows", "changes", "behind_rows", "undated_rows")
 
-# The setting, and the rule that would replace a plan whose result turns out
-# empty, and with it the counters inside that plan.
+# Settings that a load adjusts, and the rule that would replace a plan whose
+# result turns out empty, and with it the counters inside that plan.
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
 _DROPS_COUNTERS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
 
+# Shuffled text is some three times its compressed columns; one task gets about 256 MB of it.
+_BYTES_PER_PARTITION = (256 << 20) // 3
+_MOST_PARTITIONS = 50_000
+
 
 @contextmanager
-def keeping_counters(spark: SparkSession):
-    """Let counters report also when nothing changed, by leaving out that one rule."""
-    before = spark.conf.get(_EXCLUDED, None)
-    if before and _DROPS_COUNTERS in before:
-        yield
-        return
-    spark.conf.set(_EXCLUDED, f"{before},{_DROPS_COUNTERS}" if before else _DROPS_COUNTERS)
+def restored_settings(spark: SparkSession):
+    """Put the settings that loads adjust back as they were."""
+    before = {name: spark.conf.get(name, None) for name in (_PARTITIONS, _EXCLUDED)}
     try:
         yield
     finally:
-        if before:
-            spark.conf.set(_EXCLUDED, before)
-        else:
-            spark.conf.unset(_EXCLUDED)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _keep_counters(spark: SparkSession) -> None:
+    """Let counters report also when nothing changed."""
+    rules = spark.conf.get(_EXCLUDED, None)
+    if not rules:
+        spark.conf.set(_EXCLUDED, _DROPS_COUNTERS)
+    elif _DROPS_COUNTERS not in rules:
+        spark.conf.set(_EXCLUDED, f"{rules},{_DROPS_COUNTERS}")
+
+
+def partitions_for(*frames: DataFrame) -> int:
+    """Shuffle partitions that the frames call for by Catalyst's size estimates."""
+    sizes = [estimated_bytes(frame) for frame in frames]
+    known = sum(size for size in sizes if size < UNKNOWN_BYTES)
+    return min(_MOST_PARTITIONS, math.ceil(known / _BYTES_PER_PARTITION))
+
+
+def _allow_partitions(spark: SparkSession, wanted: int) -> None:
+    """Raise the number of shuffle partitions; adaptive execution merges the small ones."""
+    if wanted > int(spark.conf.get(_PARTITIONS)):
+        spark.conf.set(_PARTITIONS, str(wanted))
 
 
 def load_feed(
@@ -65,11 +90,26 @@ def load_feed(
     count again, which affects the report and nothing else. Only when rows are held back and ``held_path`` is given
     does a second job run, to store them. An empty feed writes nothing.
     """
+    with restored_settings(conformed.sparkSession):
+        return _load(conformed, spec, log_path, semantics, held_path, emit_deletes, hot)
+
+
+def _load(
+    conformed: DataFrame,
+    spec: TableSpec,
+    log_path: str,
+    semantics: str,
+    held_path: str | None,
+    emit_deletes: bool,
+    hot: HotKeys | None,
+) -> dict:
     spark = conformed.sparkSession
     log = read_log(spark, log_path, spec) if table_in_log(spark, log_path, spec) else None
     action = "initial" if log is None else "incremental"
     if conformed.isEmpty():
         return {"action": action, **dict.fromkeys(_COUNTS, 0)}
+    _keep_counters(spark)
+    _allow_partitions(spark, partitions_for(*[df for df in (conformed, log) if df is not None]))
     read, written = Observation(), Observation()
     cells = change_log(
         conformed, spec, semantics, log=log, emit_deletes=emit_deletes, hot=hot, counts=read
@@ -77,8 +117,7 @@ def load_feed(
     if held_path and semantics == STRICT:
         # planned before the append, so that it sees the log as the append saw it
         held = held_rows(conformed, spec, log, hot)
-    with keeping_counters(spark):
-        append_log(cells, log_path, spec, written)
+    append_log(cells, log_path, spec, written)
     counts = {**read.get, **written.get}
     if held_path and semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
         held.write.mode("append").parquet(f"{held_path.rstrip('/')}/{spec.log_folder}")
@@ -118,15 +157,8 @@ def run(
                 loaded = table_in_log(spark, log_path, spec)
                 mode = "incremental" if loaded else "historical" if historical else "full"
                 feed = read_feed(spark, feed_root, spec, mode, run_date=run_date, days=days)
-                detail |= load_feed(
-                    conform(feed, spec),
-                    spec,
-                    log_path,
-                    semantics,
-                    held_path=held_path,
-                    emit_deletes=emit_deletes,
-                    hot=hot,
-                )
+                feed = conform(feed, spec)
+                detail |= _load(feed, spec, log_path, semantics, held_path, emit_deletes, hot)
                 if not detail["feed_rows"]:
                     detail["status"] = "empty"
         except Exception as error:  # one table's failure must not hide the others' results
@@ -144,7 +176,7 @@ def run(
     entries = specs(historical_tables(control, selector))
     if last_only:
         entries = entries[-1:]
-    with keeping_counters(spark):
+    with restored_settings(spark):
         report = _in_parallel(process, entries, tables_at_once)
     return spark.createDataFrame(report, REPORT_SCHEMA)
 

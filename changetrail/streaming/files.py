@@ -34,7 +34,7 @@ def stream_change_log(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         load_feed(
-            conform(batch, spec),
+            batch,
             spec,
             log_path,
             STRICT,
@@ -48,8 +48,10 @@ def stream_change_log(
         .option("maxFilesPerTrigger", max_files_per_batch)
         .parquet(feed_path)
     )
+    # conformed before the batches are cut, so that only needed columns are read
     return (
-        files.writeStream.foreachBatch(load)
+        conform(files, spec)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 from datetime import date
 
@@ -199,11 +200,19 @@ def test_run_in_reference_semantics_logs_again_what_it_reads_again(spark, tmp_pa
 
 
 def test_settings_are_left_as_they_were(spark, tmp_path):
-    name = "spark.sql.adaptive.optimizer.excludedRules"
-    before = spark.conf.get(name, None)
+    names = ("spark.sql.adaptive.optimizer.excludedRules", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(name, None) for name in names]
     frame = conform(orders(spark, [(1, 5.0, "2024-01-01 00:00:00")]), SALES)
     load_feed(frame, SALES, str(tmp_path / "log"))
-    assert spark.conf.get(name, None) == before
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
+def test_partitions_follow_the_size(spark, sf_dir, monkeypatch):
+    runs = importlib.import_module("changetrail.plans.run")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    assert runs.partitions_for(events) == 1
+    monkeypatch.setattr(runs, "_BYTES_PER_PARTITION", 1000)
+    assert 10 < runs.partitions_for(events) < runs.partitions_for(events, events)
 
 
 def test_stream_processes_each_file_once(spark, tmp_path):
