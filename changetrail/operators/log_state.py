@@ -59,7 +59,11 @@ def pivot_log(log: DataFrame, audit_columns: Sequence[str]) -> DataFrame:
 
 
 def baseline(
-    log: DataFrame, spec: TableSpec, semantics: str = "strict", feed: DataFrame | None = None
+    log: DataFrame,
+    spec: TableSpec,
+    semantics: str = "strict",
+    feed: DataFrame | None = None,
+    with_origin: bool = True,
 ) -> DataFrame:
     """Last known wide row per entity, in the conformed shape.
 
@@ -67,7 +71,9 @@ def baseline(
     logged change holds, other columns being null. Both are one partial aggregation and one
     shuffle. With ``feed`` (conformed), only entities that occur in it are returned; Catalyst
     moves that semi join below the aggregation when the feed's keys are small enough to
-    broadcast, and otherwise reuses the aggregation's partitioning for it.
+    broadcast, and otherwise reuses the aggregation's partitioning for it. Without
+    ``with_origin``, the operation, time text and user of the last change are left null and,
+    in strict semantics, neither read nor shuffled.
     """
     check_semantics(semantics)
     strict = semantics != REFERENCE
@@ -86,7 +92,8 @@ def baseline(
     def newest(name: str) -> Column:
         return F.max(F.when(F.col("column_name") == name, F.struct(*place, "column_value")))
 
-    last = F.max(F.struct("at", ORDER, OP, TIME, USER))
+    origin = [OP, TIME, USER] if with_origin else []
+    last = F.max(F.struct(*place, *[name for name in origin if name not in place]))
     state = rows.groupBy("key").agg(
         last.alias("last"),
         *[newest(name).alias(f"c{i}") for i, name in enumerate(spec.audit_columns)],
@@ -101,14 +108,17 @@ def baseline(
         in_last_change = [cell.getField(p).eqNullSafe(F.col("last").getField(p)) for p in place]
         return F.when(reduce(Column.__and__, in_last_change), cell.getField("column_value"))
 
-    time = F.col("last").getField(TIME)
-    micros = F.col("last").getField("at") if strict else event_micros(time)
+    def of_last(name: str) -> Column:
+        return F.col("last").getField(name) if name in origin else F.lit(None).cast("string")
+
+    at = F.col("last").getField("at")
+    micros = at if strict else event_micros(at)
     return state.select(
-        F.col("last").getField(OP).alias(OP),
+        of_last(OP).alias(OP),
         *source_literals(spec),
         *[F.col("key").getField(k).alias(k) for k in KEYS],
-        time.alias(TIME),
-        F.col("last").getField(USER).alias(USER),
+        (of_last(TIME) if strict else at).alias(TIME),
+        of_last(USER).alias(USER),
         F.lit(True).alias(FROM_LOG),
         *date_parts(micros),
         micros.alias(MICROS),

@@ -100,7 +100,9 @@ def _compared(
     feed = versions(conformed, spec, semantics, emit_deletes)
     state = None
     if log is not None:
-        state = versions(baseline(log, spec, semantics, feed=conformed), spec, semantics, emit_deletes)
+        # whether the last change was a delete matters only where deletes are logged
+        state = baseline(log, spec, semantics, feed=conformed, with_origin=emit_deletes)
+        state = versions(state, spec, semantics, emit_deletes)
     return compare(feed, spec, semantics, state, hot)
 
 

@@ -15,7 +15,7 @@ from ..operators.conform import conform
 from ..operators.hot_keys import UNKNOWN_BYTES, HotKeys, estimated_bytes
 from ..sources.control import historical_tables, specs
 from ..sources.feed import read_feed
-from ..sources.log import read_log, table_in_log
+from ..sources.log import load_finished, read_log, table_in_log
 from ..spec import STRICT, TableSpec
 from .change_log import change_log, held_rows
 from .sink import append_log, purge_table
@@ -114,12 +114,11 @@ def _load(
     cells = change_log(
         conformed, spec, semantics, log=log, emit_deletes=emit_deletes, hot=hot, counts=read
     )
-    if held_path and semantics == STRICT:
-        # planned before the append, so that it sees the log as the append saw it
-        held = held_rows(conformed, spec, log, hot)
     append_log(cells, log_path, spec, written)
     counts = {**read.get, **written.get}
     if held_path and semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
+        # ``log`` lists its files since before the append, so this sees what the append saw
+        held = held_rows(conformed, spec, log, hot)
         held.write.mode("append").parquet(f"{held_path.rstrip('/')}/{spec.log_folder}")
     return {"action": action, **counts}
 
@@ -154,7 +153,8 @@ def run(
             if spec.is_delete:
                 purge_table(spark, log_path, spec)
             else:
-                loaded = table_in_log(spark, log_path, spec)
+                # a first load that was cut short is read in full again
+                loaded = load_finished(spark, log_path, spec)
                 mode = "incremental" if loaded else "historical" if historical else "full"
                 feed = read_feed(spark, feed_root, spec, mode, run_date=run_date, days=days)
                 feed = conform(feed, spec)

@@ -27,6 +27,13 @@ def table_in_log(spark: SparkSession, path: str, spec: TableSpec) -> bool:
     return storage.exists(spark, f"{path.rstrip('/')}/{spec.log_folder}")
 
 
+def load_finished(spark: SparkSession, path: str, spec: TableSpec) -> bool:
+    """Has a write of this table, or of the whole log, ever been completed?"""
+    path = path.rstrip("/")
+    markers = (f"{path}/{spec.log_folder}/_SUCCESS", f"{path}/_SUCCESS")
+    return table_in_log(spark, path, spec) and any(storage.exists(spark, m) for m in markers)
+
+
 def scan_table(log: DataFrame, spec: TableSpec) -> DataFrame:
     """The log rows of one table; the filter is on partition columns only."""
     return log.where(is_table(spec))

@@ -165,6 +165,7 @@ def test_runs(spark, tmp_path):
     assert list(nothing) == ["orders"] and nothing["orders"]["status"] == "empty"
 
     changes = [
+        ("U", 1, 6.5, "2024-01-30 00:00:00"),
         ("U", 1, 7.0, "2024-01-31 00:00:00"),
         ("U", 2, 6.0, "2024-01-31 00:00:00"),
         ("U", 2, 1.0, "2023-01-01 00:00:00"),
@@ -173,19 +174,32 @@ def test_runs(spark, tmp_path):
     columns = "Op string, id int, amount double, update_ts_dms string"
     stage(orders(spark, changes, columns), f"{root}/sales/orders/2024/01/31", "20240131")
     second = by_table(run(spark, control, root, log, DAY, held_path=held, last_only=True))["orders"]
-    assert (second["action"], second["feed_rows"], second["changes"]) == ("incremental", 4, 1)
+    assert (second["action"], second["feed_rows"], second["changes"]) == ("incremental", 5, 2)
     assert (second["behind_rows"], second["undated_rows"]) == (1, 1)
     assert sorted(r["reason"] for r in spark.read.parquet(f"{held}/{SALES.log_folder}").collect()) == ["behind", "undated"]
     assert ("1", "U", "amount", "7.0") in cells(read_log(spark, log))
 
     third = by_table(run(spark, control, root, log, DAY, last_only=True))["orders"]
-    assert (third["status"], third["feed_rows"], third["changes"]) == ("done", 4, 0)
+    assert (third["status"], third["feed_rows"], third["changes"]) == ("done", 5, 0)
 
     gone = control.where("tb_name = 'orders'").selectExpr("* except (IsDelete)", "true as IsDelete")
     assert by_table(run(spark, gone, root, log, DAY))["orders"]["action"] == "purge"
     assert not table_in_log(spark, log, SALES)
 
 
+def test_a_first_load_cut_short_is_read_in_full_again(spark, tmp_path):
+    root, log = str(tmp_path / "feed"), str(tmp_path / "log")
+    control = control_table(spark, write_control(tmp_path, SAMPLE[1:]))
+    rows = [(1, 5.0, "2024-01-01 00:00:00"), (2, 6.0, "2024-01-02 00:00:00")]
+    stage(orders(spark, rows), f"{root}/sales/orders", "LOAD0001")
+    part = conform(orders(spark, rows[:1]), SALES)
+    append_log(change_log(part, SALES), log, SALES)
+    (tmp_path / "log" / SALES.log_folder / "_SUCCESS").unlink()
+    report = by_table(run(spark, control, root, log, DAY))["orders"]
+    assert (report["feed_rows"], report["changes"]) == (2, 1)
+    assert [c[0] for c in cells(read_log(spark, log))] == ["1", "2"]
+
+
 def test_run_in_reference_semantics_logs_again_what_it_reads_again(spark, tmp_path):
     root, log = str(tmp_path / "feed"), str(tmp_path / "log")
     control = control_table(spark, write_control(tmp_path, SAMPLE[1:]))
