@@ -48,7 +48,7 @@ class TableSpec:
     """One audited source table.
 
     ``sequence`` names feed columns (non-floating) that order changes of one key with equal
-    time; without it a hash of the row's content does. ``extra_keys`` says what to do with
+    time, and must tell them apart; without it a hash of the row's content does both. ``extra_keys`` says what to do with
     more than three key columns: ``reject`` them, ``fold`` the tail into ``k3`` as a JSON
     array, or ``cut`` them off (which may merge distinct entities).
     """
