@@ -66,7 +66,7 @@ def sequence_text(df: DataFrame, names: Sequence[str]) -> Column:
     parts = []
     for name in names:
         value = column(name)
-        kind = df.select(value).schema[0].dataType
+        kind = df.schema[name].dataType
         if isinstance(kind, T.IntegralType):
             number = value.cast("bigint")
             negative = F.lpad((number - F.lit(_LOWEST_BIGINT)).cast("string"), 20, "0")

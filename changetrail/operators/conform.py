@@ -44,7 +44,7 @@ def conform(feed: DataFrame, spec: TableSpec) -> DataFrame:
     op = _text_or_null(feed, OP)
     user = _text_or_null(feed, FEED_USER, USER)
     time = column(time_name)
-    micros = event_micros(time, feed.select(time).schema[0].dataType)
+    micros = event_micros(time, feed.schema[time_name].dataType)
     audited = {name: _text_or_null(feed, name) for name in spec.audit_columns}
     if spec.sequence:
         order = sequence_text(feed, spec.sequence)

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # size of the files that the rebalanced append writes
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # plans are built from many column expressions; do not record a stack trace for each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
