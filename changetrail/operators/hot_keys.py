@@ -29,8 +29,8 @@ class HotKeys:
 
     rows_per_slice: int = 5_000_000
     check_above_bytes: int = 256 << 20
-    max_keys: int = 1_000
-    max_slices: int = 10_000
+    max_keys: int = 10_000
+    max_slices: int = 20_000
     samples_per_slice: int = 20
 
 
@@ -76,13 +76,20 @@ def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: Hot
     """Return slice bounds for keys above ``rows_per_slice``, or None when there are none."""
     if estimated_bytes(rows) <= policy.check_above_bytes:
         return None
-    keyed = rows.select(key_hash.alias("key_hash"), position.alias("position"))
 
-    # One pass over the key columns into a sketch of fixed size: no shuffle of the rows.
-    heavy = keyed.agg(
-        F.expr(f"approx_top_k(key_hash, {policy.max_keys}, {policy.max_keys * 100})").alias("top")
-    ).first()["top"]
-    counts = {item["item"]: item["count"] for item in heavy or [] if item["count"] > policy.rows_per_slice}
+    # A sample holds about samples_per_slice rows of a key that fills one slice. It is counted
+    # by hash in parallel, and only the largest counts reach the driver.
+    rate = min(1.0, policy.samples_per_slice / policy.rows_per_slice)
+    largest = (
+        rows.sample(rate, seed=17)
+        .groupBy(key_hash.alias("key_hash"))
+        .count()
+        .where(F.col("count") > policy.rows_per_slice * rate)
+        .orderBy(F.col("count").desc())
+        .limit(policy.max_keys)
+        .collect()
+    )
+    counts = {row["key_hash"]: row["count"] / rate for row in largest}
     if not counts:
         return None
 
@@ -91,8 +98,9 @@ def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: Hot
     slices = {h: max(1, int(n * shrink)) for h, n in wanted.items()}
     rates = {h: min(1.0, policy.samples_per_slice * slices[h] / counts[h]) for h in counts}
 
-    # A sample of positions, bounded by samples_per_slice * max_slices, places the bounds.
-    # It only chooses where to cut; every row is still processed.
+    # A second sample, of about samples_per_slice * max_slices positions at most, places the
+    # bounds. Samples only choose where to cut; every row is still processed.
+    keyed = rows.select(key_hash.alias("key_hash"), position.alias("position"))
     sampled = (
         keyed.where(F.col("key_hash").isin(list(counts)))
         .sampleBy("key_hash", rates, seed=17)
@@ -100,7 +108,8 @@ def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: Hot
         .agg(F.sort_array(F.collect_list("position")).alias("positions"))
         .collect()
     )
-    table = [(row["key_hash"], _cut(row["positions"], slices[row["key_hash"]])) for row in sampled]
+    cuts = [(row["key_hash"], _cut(row["positions"], slices[row["key_hash"]])) for row in sampled]
+    table = [(key, bounds) for key, bounds in cuts if bounds]
     if not table:
         return None
     schema = T.StructType(

@@ -28,10 +28,15 @@ def table_in_log(spark: SparkSession, path: str, spec: TableSpec) -> bool:
 
 
 def load_finished(spark: SparkSession, path: str, spec: TableSpec) -> bool:
-    """Has a write of this table, or of the whole log, ever been completed?"""
+    """Has a write of this table, or of the whole log, ever been completed?
+
+    Completed writes leave a marker file. Where markers are switched off, any folder counts.
+    """
     path = path.rstrip("/")
+    if not table_in_log(spark, path, spec) or not storage.marks_success(spark):
+        return table_in_log(spark, path, spec)
     markers = (f"{path}/{spec.log_folder}/_SUCCESS", f"{path}/_SUCCESS")
-    return table_in_log(spark, path, spec) and any(storage.exists(spark, m) for m in markers)
+    return any(storage.exists(spark, marker) for marker in markers)
 
 
 def scan_table(log: DataFrame, spec: TableSpec) -> DataFrame:

@@ -18,6 +18,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
+def marks_success(spark: SparkSession) -> bool:
+    """Do completed writes leave a ``_SUCCESS`` file?"""
+    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    return spark._jsc.hadoopConfiguration().getBoolean(name, True)
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     file_system, target = _handle(spark, path)
     return file_system.delete(target, True)

@@ -117,8 +117,11 @@ def test_one_key_with_most_rows_is_cut(spark, sf_dir):
     assert len(hot) >= 15 and max(hot) < 150
     assert sum(hot) == rows.where("k1 = '-1'").count()
     assert {r["slice"] for r in sizes if r["k1"] != "-1"} == {0}
-    plain, sliced = change_log(conformed, spec, hot=None), change_log(conformed, spec, hot=policy)
-    assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
+    plain = change_log(conformed, spec, hot=None)
+    for limits in ({}, {"max_slices": 3}, {"max_keys": 1, "samples_per_slice": 2}):
+        bounded = HotKeys(rows_per_slice=50, check_above_bytes=0, **limits)
+        sliced = change_log(conformed, spec, hot=bounded)
+        assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
 
 
 def test_small_inputs_are_not_examined(spark, sf_dir):
