@@ -8,7 +8,7 @@ Two texts are linked when their sets of distinct five-word shingles have a Jacca
 2. Prefix filter: in any global order of shingles, linked sets of size n and m share one of their
    first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 shingles. The first order puts shingles that
    many nodes hold in their prefix last (found by counting, repeated while it changes much), the
-   others by hash. Only prefixes are shuffled, and only shingles in two different nodes are kept.
+   others by hash. Only prefixes are counted, and only shingles of two different nodes are kept.
 3. Nodes that share a prefix shingle are first paired with one pivot only, the node with the fewest
    rare shingles; so a group of m near copies gives m pairs, not m squared. Pairs must fit in
    size and in the place of the shingle.
@@ -44,40 +44,50 @@ MOST_FREQUENT = 1 << 18
 SENT = 1 << 21
 ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
-# A-Z to lower case, byte by byte; bytes.split then cuts at \x20 and \x09-\x0D
+# A-Z count as lower case; words are cut at the bytes \x20 and \x09-\x0D
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+_CUTS = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _M1
+    return x ^ (x >> np.uint64(29))
 
 
-_WORDS = _Words()
+#: One random number for each byte, after lower case; bytes between words count nothing.
+_VALUES = np.where(_CUTS, np.uint64(0), _mixed(np.frombuffer(_LOWER, "u1").astype("u8") + np.uint64(0x51ED270B)))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _M1
-    return x ^ (x >> np.uint64(29))
+def _words(data: bytes) -> np.ndarray:
+    """A hash of each word: the sum of its bytes' numbers, each times a power of its place, mixed."""
+    points = np.frombuffer(data, "u1")
+    inside = ~_CUTS[points]
+    starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
+    if not len(starts):
+        return np.zeros(0, "u8")
+    points = points[starts[0] :]
+    starts = starts - starts[0]
+    lengths = np.diff(np.append(starts, len(points)))
+    places = np.arange(len(points)) - np.repeat(starts, lengths)
+    powers = np.full(int(lengths.max()), _M2, "u8")
+    powers = np.multiply.accumulate(powers)
+    return _mixed(np.add.reduceat(_VALUES[points] * powers[places], starts))
 
 
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, "u8")
-    if len(_WORDS) > 1_000_000:
-        _WORDS.clear()
-    ids = np.fromiter(map(_WORDS.__getitem__, words), "u8", len(words))
+    ids = _words((text or "").encode("utf-8", "surrogatepass"))
+    if not len(ids):
+        return ids
     size = min(WORDS, len(ids))
     n = len(ids) - size + 1
     key = np.full(n, size, "u8")
     for i in range(size):
         key = (key ^ ids[i : i + n]) * _M2
         key ^= key >> np.uint64(31)
-    return np.unique(_mixed(key))
+    key = np.sort(_mixed(key))
+    return key[np.concatenate([[True], key[1:] != key[:-1]])]
 
 
 def node_of(hashes: np.ndarray) -> int:
@@ -153,26 +163,26 @@ def _array(frame: DataFrame, column: str) -> np.ndarray:
     return np.sort(frame.select(column).toPandas()[column].to_numpy().astype("i8").view("u8"))
 
 
-def _lists(docs: DataFrame, n_rows: int) -> tuple[DataFrame, np.ndarray]:
-    """Shingles in the prefixes of two nodes or more, each with its pivot; the frequent shingles."""
-    counts = _postings(docs, np.zeros(0, "u8")).groupBy("token").count()
-    top = counts.filter(F.col("count") > OFTEN).orderBy(F.desc("count"), "token").limit(MOST_FREQUENT)
-    often = _array(top, "token")
+def _shared(docs: DataFrame, n_rows: int) -> tuple[DataFrame, np.ndarray]:
+    """Shingles that stand in two prefixes or more, saved, and the frequent ones, put last.
+
+    Putting shingles last brings others into the prefixes, so it is repeated while it at least
+    halves the rows of newly found frequent ones. (It does not in large groups of near copies, all
+    of whose shingles are frequent; these the pivots deal with.)
+    """
+    often = np.zeros(0, "u8")
+    last = None
     while True:
-        found = _postings(docs, often).groupBy("token").agg(
-            F.count("*").alias("count"),
-            F.min("node").alias("low"),
-            F.max("node").alias("high"),
-            F.min(F.struct("rare", "node", "n", "most")).alias("pivot"),
-        )
-        lists = saved(found.filter("low != high").select("token", "count", "pivot"), "shingle-lists")
+        counts = _postings(docs, often).groupBy("token").count().filter("count > 1")
+        counts = saved(counts, "shingle-counts")
         known = docs.sparkSession.createDataFrame(pd.DataFrame({"token": often.view("i8")}), "token long")
-        new = lists.filter(F.col("count") > OFTEN).join(known, "token", "left_anti")
+        new = counts.filter(F.col("count") > OFTEN).join(known, "token", "left_anti")
         size = new.agg(F.sum("count")).first()[0] or 0
-        if size <= n_rows // 20 + OFTEN or len(often) >= MOST_FREQUENT:
-            return lists, often
-        more = _array(new.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT - len(often)), "token")
-        often = np.union1d(often, more)
+        room = MOST_FREQUENT - len(often)
+        if size <= n_rows // 20 + OFTEN or room <= 0 or last is not None and size > last // 2:
+            return counts.select("token"), often
+        last = size
+        often = np.union1d(often, _array(new.orderBy(F.desc("count"), "token").limit(room), "token"))
 
 
 def _sets(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -255,14 +265,19 @@ def components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     members = saved(nodes(docs), "nodes")
     n_rows = members.count()
-    lists, often = _lists(docs, n_rows)
-    n_lists = lists.count()
-    if n_lists <= SENT:
-        postings = _postings(docs, often, _array(lists, "token"))
-        lists = F.broadcast(lists) if n_lists <= SENT // 16 else lists
+    shared, often = _shared(docs, n_rows)
+    if shared.count() <= SENT:
+        found = _postings(docs, often, _array(shared, "token"))
     else:
-        postings = _postings(docs, often)
-    own = saved(postings.join(lists, "token"), "shared-shingles")
+        found = _postings(docs, often).join(shared, "token", "left_semi")
+    found = saved(found, "shared-postings")
+    lists = found.groupBy("token").agg(
+        F.min("node").alias("low"),
+        F.max("node").alias("high"),
+        F.min(F.struct("rare", "node", "n", "most")).alias("pivot"),
+    )
+    own = found.join(lists.filter("low != high").select("token", "pivot"), "token")
+    own = saved(own, "shared-shingles")
 
     fits = lambda n, most, m, most_m: (n <= most_m) & (m <= most) & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
     p = F.col("pivot")
