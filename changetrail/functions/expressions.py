@@ -106,10 +106,13 @@ def any_cell_changed(pairs: Sequence[tuple[Column, Column]], semantics: str) ->
 
 
 def file_kind(file_name: Column) -> Column:
-    """Kind of a feed file by its name: full load, change capture, or neither."""
+    """Kind of a feed file by its name: full load, change capture, or neither.
+
+    Fixed values: full loads begin with LOAD, change captures with their date in eight digits.
+    """
     return (
         F.when(file_name.startswith("LOAD"), "full")
-        .when(file_name.startswith("202"), "cdc")
+        .when(file_name.rlike("^[0-9]{8}"), "cdc")
         .otherwise("skip")
     )
 

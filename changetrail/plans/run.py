@@ -9,11 +9,11 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from ..operators.conform import conform
 from ..operators.hot_keys import UNKNOWN_BYTES, HotKeys, estimated_bytes
-from ..sources.control import historical_tables, specs
+from ..sources.control import control_rows, historical_tables, spec_of
 from ..sources.feed import read_feed
 from ..sources.log import load_finished, read_log, table_in_log
 from ..spec import STRICT, TableSpec
@@ -35,7 +35,6 @@ _DROPS_COUNTERS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRela
 
 # Shuffled text is some three times its compressed columns; one task gets about 256 MB of it.
 _BYTES_PER_PARTITION = (256 << 20) // 3
-_MOST_PARTITIONS = 50_000
 
 
 @contextmanager
@@ -65,7 +64,7 @@ def partitions_for(*frames: DataFrame) -> int:
     """Shuffle partitions that the frames call for by Catalyst's size estimates."""
     sizes = [estimated_bytes(frame) for frame in frames]
     known = sum(size for size in sizes if size < UNKNOWN_BYTES)
-    return min(_MOST_PARTITIONS, math.ceil(known / _BYTES_PER_PARTITION))
+    return math.ceil(known / _BYTES_PER_PARTITION)
 
 
 def _allow_partitions(spark: SparkSession, wanted: int) -> None:
@@ -87,8 +86,9 @@ def load_feed(
     """Append what a conformed feed changes to the log, in one write; return the counts.
 
     Counting rides on that write; feed rows that Spark reads again after losing an executor
-    count again, which affects the report and nothing else. Only when rows are held back and ``held_path`` is given
-    does a second job run, to store them. An empty feed writes nothing.
+    count again, which affects the report and nothing else. Only when rows are held back does a
+    second job run, to store them under ``held_path`` (by default beside the log, in
+    ``<log_path>_held``). An empty feed writes nothing.
     """
     with restored_settings(conformed.sparkSession):
         return _load(conformed, spec, log_path, semantics, held_path, emit_deletes, hot)
@@ -116,9 +116,10 @@ def _load(
     )
     append_log(cells, log_path, spec, written)
     counts = {**read.get, **written.get}
-    if held_path and semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
+    if semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
         # ``log`` lists its files since before the append, so this sees what the append saw
         held = held_rows(conformed, spec, log, hot)
+        held_path = held_path or f"{log_path.rstrip('/')}_held"
         held.write.mode("append").parquet(f"{held_path.rstrip('/')}/{spec.log_folder}")
     return {"action": action, **counts}
 
@@ -141,15 +142,17 @@ def run(
 ) -> DataFrame:
     """Process every control row and report one row per table.
 
-    A table that fails is reported as failed with its error; the others still run. Tables
-    write to separate folders, so ``tables_at_once`` of them share the cluster.
+    A row that is invalid or whose table fails is reported as failed with its error; the others
+    still run. Tables write to separate folders, so ``tables_at_once`` of them share the cluster;
+    rows of the same table are processed one after the other, in their order.
     """
 
-    def process(entry: tuple[TableSpec, bool]) -> tuple:
-        spec, historical = entry
+    def process(row: Row) -> tuple:
+        historical = row["is_historical"]
         started = time.monotonic()
-        detail: dict = {"action": "purge" if spec.is_delete else "load", "status": "done"}
+        detail: dict = {"action": "purge" if row["IsDelete"] else "load", "status": "done"}
         try:
+            spec = spec_of(row)
             if spec.is_delete:
                 purge_table(spark, log_path, spec)
             else:
@@ -162,9 +165,11 @@ def run(
                 if not detail["feed_rows"]:
                     detail["status"] = "empty"
         except Exception as error:  # one table's failure must not hide the others' results
-            detail |= {"status": "failed", "error": f"{type(error).__name__}: {error}"[:4000]}
+            detail |= {"status": "failed", "error": f"{type(error).__name__}: {error}"}
         return (
-            *spec.source.values(),
+            row["rds_name"],
+            row["db_name"],
+            row["tb_name"],
             detail["action"],
             detail["status"],
             *[detail.get(name) for name in _COUNTS],
@@ -173,14 +178,22 @@ def run(
             detail.get("error"),
         )
 
-    entries = specs(historical_tables(control, selector))
+    rows = control_rows(historical_tables(control, selector))
     if last_only:
-        entries = entries[-1:]
+        rows = rows[-1:]
+    tables: dict[tuple, list[int]] = {}
+    for place, row in enumerate(rows):
+        tables.setdefault((row["rds_name"], row["db_name"], row["tb_name"]), []).append(place)
+
+    def in_order(places: list[int]) -> list[tuple[int, tuple]]:
+        return [(place, process(rows[place])) for place in places]
+
     with restored_settings(spark):
-        report = _in_parallel(process, entries, tables_at_once)
+        done = _in_parallel(in_order, list(tables.values()), tables_at_once)
+    report = [result for _, result in sorted((x for part in done for x in part), key=lambda x: x[0])]
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
-def _in_parallel(process: Callable, entries: list, workers: int) -> list:
+def _in_parallel(process: Callable, groups: list, workers: int) -> list:
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        return list(pool.map(process, entries))
+        return list(pool.map(process, groups))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..spec import TableSpec
@@ -47,21 +47,25 @@ def historical_tables(control: DataFrame, selector: str) -> DataFrame:
     )
 
 
-def specs(control: DataFrame) -> list[tuple[TableSpec, bool]]:
-    """Collect the control rows (one small row per table) as (spec, is_historical)."""
+def spec_of(row: Row) -> TableSpec:
+    """The spec of one control row; raises ValueError where the row makes no valid one."""
+    return TableSpec(
+        rds=row["rds_name"],
+        db=row["db_name"],
+        tb=row["tb_name"],
+        primary_key=row["primaryKey"],
+        audit_columns=row["audit_column"],
+        is_delete=row["IsDelete"],
+        sequence=row["sequence"],
+    )
+
+
+def control_rows(control: DataFrame) -> list[Row]:
+    """Collect the control rows, one small row per table."""
     flagged = control if "is_historical" in control.columns else control.withColumn("is_historical", F.lit(False))
-    return [
-        (
-            TableSpec(
-                rds=row["rds_name"],
-                db=row["db_name"],
-                tb=row["tb_name"],
-                primary_key=row["primaryKey"],
-                audit_columns=row["audit_column"],
-                is_delete=row["IsDelete"],
-                sequence=row["sequence"],
-            ),
-            row["is_historical"],
-        )
-        for row in flagged.collect()
-    ]
+    return flagged.collect()
+
+
+def specs(control: DataFrame) -> list[tuple[TableSpec, bool]]:
+    """Collect the control rows as (spec, is_historical)."""
+    return [(spec_of(row), row["is_historical"]) for row in control_rows(control)]

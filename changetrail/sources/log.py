@@ -28,15 +28,15 @@ def table_in_log(spark: SparkSession, path: str, spec: TableSpec) -> bool:
 
 
 def load_finished(spark: SparkSession, path: str, spec: TableSpec) -> bool:
-    """Has a write of this table, or of the whole log, ever been completed?
+    """Has a write into this table's own folder ever been completed?
 
-    Completed writes leave a marker file. Where markers are switched off, any folder counts.
+    Completed writes leave a marker file there. Where markers are switched off, any folder counts.
+    The marker of an append to the whole log says nothing about one table and does not count.
     """
     path = path.rstrip("/")
     if not table_in_log(spark, path, spec) or not storage.marks_success(spark):
         return table_in_log(spark, path, spec)
-    markers = (f"{path}/{spec.log_folder}/_SUCCESS", f"{path}/_SUCCESS")
-    return any(storage.exists(spark, marker) for marker in markers)
+    return storage.exists(spark, f"{path}/{spec.log_folder}/_SUCCESS")
 
 
 def scan_table(log: DataFrame, spec: TableSpec) -> DataFrame:

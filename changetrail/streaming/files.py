@@ -23,13 +23,18 @@ def stream_change_log(
     held_path: str | None = None,
     emit_deletes: bool = False,
     hot: HotKeys | None = HotKeys(),
-    max_files_per_batch: int = 10_000,
+    max_files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Process the files that are new since the last run, then stop.
 
     The log is the only state, so nothing grows in the stream. A batch that is repeated after
     a failure compares against what its first attempt logged and adds nothing. ``feed_path``
     may hold globs, for instance ``<root>/<db>/<tb>/*/*/*`` for dated folders.
+
+    All new files are one batch, in which versions are put in order whatever file they came in.
+    With ``max_files_per_batch``, rows that arrive in a later batch than newer ones of their
+    entity are late; like other late rows they are kept under ``held_path`` (by default
+    ``<log_path>_held``).
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -43,11 +48,10 @@ def stream_change_log(
             hot=hot,
         )
 
-    files = (
-        spark.readStream.schema(feed_schema)
-        .option("maxFilesPerTrigger", max_files_per_batch)
-        .parquet(feed_path)
-    )
+    reader = spark.readStream.schema(feed_schema)
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    files = reader.parquet(feed_path)
     # conformed before the batches are cut, so that only needed columns are read
     return (
         conform(files, spec)
