@@ -22,7 +22,7 @@ items; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -264,12 +264,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose text has no item, all columns kept. No shuffle."""
     small_batches(docs.sparkSession)
-    kept = docs
-    for index in _indexes(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(index)
 
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
+    def without(shared) -> Callable:
+        def clean(texts: pd.Series) -> pd.Series:
             return pd.Series([not own for own in shared.value.search(list(texts))], dtype=bool)
 
-        kept = kept.filter(F.pandas_udf(clean, "boolean")(F.coalesce("text", F.lit(""))))
+        return F.pandas_udf(clean, "boolean")
+
+    kept = docs
+    for index in _indexes(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        kept = kept.filter(without(shared)(F.coalesce("text", F.lit(""))))
     return kept

@@ -90,12 +90,12 @@ QUERIES = {
 
 _NEAR_DUPLICATES = r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(
+  SELECT doc_id, [x for x in regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+           '[\x20\x09-\x0D]+') if x <> ''] AS w
   FROM documents
 ), shingles AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), i -> list_slice(w, i, i + 4))) AS s
+  SELECT DISTINCT doc_id, unnest([w[i:i + 4] for i in range(1, greatest(len(w) - 4, 1) + 1)]) AS s
   FROM words WHERE len(w) > 0
 ), sizes AS (
   SELECT w.doc_id, coalesce(s.n, 0) AS n_shingles
