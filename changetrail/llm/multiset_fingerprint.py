@@ -132,6 +132,7 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     places, number = ranked(docs)
     own = docs.select(F.struct("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     own = own.withColumn("tie", F.xxhash64("text")).join(places, ["id", "tie"])
+    own = with_vector(own.select("id", "rank", "text"), "text", "vector")
     # a block's first document is also put behind the block before it (the very first behind the last)
     behind = F.when(F.col("rank") == 0, F.lit(number)).otherwise(F.col("rank"))
     copies = F.array(
@@ -142,44 +143,37 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     following = Window.partitionBy("block").orderBy("at").rangeBetween(1, 1)
     n, k = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
     pairs = (
-        own.select("id", "rank", "text", F.explode(wanted).alias("copy"))
-        .select("id", "rank", "text", "copy.*")
-        .withColumn("next", F.first("text").over(following))
+        own.select("id", "text", "vector", F.explode(wanted).alias("copy"))
+        .select("id", "text", "vector", "copy.*")
+        .withColumn("next", F.first(F.struct("text", "vector")).over(following))
         .filter("own")
         .select(
             "id",
-            "rank",
             "text",
+            "vector",
+            F.col("next.vector").alias("next_vector"),
             n.cast("long").alias("n_chars"),
-            F.concat(F.substring("text", F.lit(1), n - k), F.substring("next", F.lit(1), k)).alias("edited"),
+            F.concat(F.substring("text", F.lit(1), n - k), F.substring("next.text", F.lit(1), k)).alias("edited"),
         )
     )
-    # the paragraphs before the edit are the same in both texts: their sum is taken once, then
-    # what follows is put in
-    after = lambda c: F.substring(c, F.char_length("common") + 1, F.lit(2**31 - 1))
-    pairs = pairs.withColumn("common", F.regexp_extract(F.substring("text", F.lit(1), n - k), r"^(?s:.*)\n", 0))
-    vectors = (
-        pairs.withColumn("rest", after(F.col("text")))
-        .withColumn("new", after(F.col("edited")))
-        .withColumn("common", F.regexp_replace("common", r"\n$", ""))
-        .withColumn("some", F.char_length("rest") < F.char_length("text"))
-    )
-    for text, name in (("common", "common_vector"), ("rest", "vector"), ("new", "edited_vector")):
-        vectors = with_vector(vectors, text, name)
-    for name in ("vector", "edited_vector"):
-        vectors = vectors.withColumn(name, F.when(F.col("some"), added(F.col("common_vector"), F.col(name))).otherwise(F.col(name)))
-    sums = saved(
-        vectors.select("id", "rank", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "vector", "edited_vector"),
-        "fingerprints",
-    )
-    following_vector = (
-        sums.select(F.pmod(F.col("rank") - 1, F.lit(number)).alias("rank"), F.col("vector").alias("next_vector"))
-        .groupBy("rank")
-        .agg(F.first("next_vector").alias("next_vector"))
+    # the paragraphs before the edit are the same in both texts: what follows them is taken out
+    # of the text's vector, and what is new put in
+    same = F.char_length(F.regexp_extract(F.substring("text", F.lit(1), n - k), r"^(?s:.*)\n", 0))
+    after = lambda c: F.substring(c, F.col("same") + 1, F.lit(2**31 - 1))
+    vectors = pairs.withColumn("same", same).withColumn("rest", after(F.col("text"))).withColumn("new", after(F.col("edited")))
+    for text in ("rest", "new"):
+        vectors = with_vector(vectors, text, f"{text}_vector")
+    edited_vector = added(removed(F.col("vector"), F.col("rest_vector")), F.col("new_vector"))
+    sums = vectors.select(
+        "id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        "vector",
+        edited_vector.alias("edited_vector"),
+        "next_vector",
     )
     return (
-        sums.join(following_vector, "rank")
-        .select(
+        sums.select(
             F.col("id.doc_id").alias("doc_id"),
             "n_chars",
             "edited_sha256",
