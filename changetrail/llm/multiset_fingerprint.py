@@ -132,7 +132,6 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     places, number = ranked(docs)
     own = docs.select(F.struct("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     own = own.withColumn("tie", F.xxhash64("text")).join(places, ["id", "tie"])
-    own = with_vector(own.select("id", "rank", "text"), "text", "vector")
     # a block's first document is also put behind the block before it (the very first behind the last)
     behind = F.when(F.col("rank") == 0, F.lit(number)).otherwise(F.col("rank"))
     copies = F.array(
@@ -143,17 +142,16 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     following = Window.partitionBy("block").orderBy("at").rangeBetween(1, 1)
     n, k = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
     pairs = (
-        own.select("id", "text", "vector", F.explode(wanted).alias("copy"))
-        .select("id", "text", "vector", "copy.*")
-        .withColumn("next", F.first(F.struct("text", "vector")).over(following))
+        own.select("id", "text", F.explode(wanted).alias("copy"))
+        .select("id", "text", "copy.*")
+        .withColumn("next", F.first("text").over(following))
         .filter("own")
         .select(
             "id",
             "text",
-            "vector",
-            F.col("next.vector").alias("next_vector"),
+            "next",
             n.cast("long").alias("n_chars"),
-            F.concat(F.substring("text", F.lit(1), n - k), F.substring("next.text", F.lit(1), k)).alias("edited"),
+            F.concat(F.substring("text", F.lit(1), n - k), F.substring("next", F.lit(1), k)).alias("edited"),
         )
     )
     # the paragraphs before the edit are the same in both texts: what follows them is taken out
@@ -161,8 +159,9 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
     same = F.char_length(F.regexp_extract(F.substring("text", F.lit(1), n - k), r"^(?s:.*)\n", 0))
     after = lambda c: F.substring(c, F.col("same") + 1, F.lit(2**31 - 1))
     vectors = pairs.withColumn("same", same).withColumn("rest", after(F.col("text"))).withColumn("new", after(F.col("edited")))
-    for text in ("rest", "new"):
-        vectors = with_vector(vectors, text, f"{text}_vector")
+    # the next document's vector is computed again here: vectors would be more to shuffle
+    for text, name in (("text", "vector"), ("next", "next_vector"), ("rest", "rest_vector"), ("new", "new_vector")):
+        vectors = with_vector(vectors, text, name)
     edited_vector = added(removed(F.col("vector"), F.col("rest_vector")), F.col("new_vector"))
     sums = vectors.select(
         "id",
