@@ -25,7 +25,9 @@ group's id is the smallest doc_id in it, nulls aside. Extra columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -75,9 +77,17 @@ def _words(data: bytes) -> np.ndarray:
     return _mixed(np.add.reduceat(_VALUES[points] * powers[places], starts))
 
 
+def _encoded(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    ids = _words((text or "").encode("utf-8", "surrogatepass"))
+    return _shingles(_encoded(text))
+
+
+def _shingles(data: bytes) -> np.ndarray:
+    ids = _words(data)
     if not len(ids):
         return ids
     size = min(WORDS, len(ids))
@@ -185,8 +195,11 @@ def _shared(docs: DataFrame, n_rows: int) -> tuple[DataFrame, np.ndarray]:
         often = np.union1d(often, _array(new.orderBy(F.desc("count"), "token").limit(room), "token"))
 
 
-def _sets(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``node, hashes`` of the nodes in the pairs, from one document of each."""
+def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``node, packed`` of the nodes in the pairs, from one document of each.
+
+    A compressed text is about a quarter of the size of its set of 64-bit hashes.
+    """
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     one = members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     ids = saved(one.select(F.struct("doc_id").alias("id")).distinct(), "candidates")
@@ -195,12 +208,16 @@ def _sets(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(text) for text in batch["text"]]
-            yield pd.DataFrame({"node": [node_of(s) for s in sets], "hashes": [s.tobytes() for s in sets]})
+            yield pd.DataFrame(
+                {
+                    "node": [node_of(shingles(text)) for text in batch["text"]],
+                    "packed": [zlib.compress(_encoded(text), 6) for text in batch["text"]],
+                }
+            )
 
     texts = docs.withColumn("id", F.struct("doc_id")).join(ids, "id", "left_semi")
-    return _texts(texts).mapInPandas(run, "node long, hashes binary").groupBy("node").agg(
-        F.first("hashes").alias("hashes")
+    return _texts(texts).mapInPandas(run, "node long, packed binary").groupBy("node").agg(
+        F.first("packed").alias("packed")
     )
 
 
@@ -219,14 +236,14 @@ def _linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
     """``a, b, linked`` of distinct pairs of nodes, saved."""
-    sets = _sets(docs, members, pairs)
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("hashes_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hashes_b"))
+    texts = _packed_texts(docs, members, pairs)
+    left = texts.select(F.col("node").alias("a"), F.col("packed").alias("packed_a"))
+    right = texts.select(F.col("node").alias("b"), F.col("packed").alias("packed_b"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        set_of = lru_cache(256)(lambda packed: _shingles(zlib.decompress(packed)))
         for batch in batches:
-            both = zip(batch["hashes_a"], batch["hashes_b"])
-            linked = [_linked(np.frombuffer(x, "u8"), np.frombuffer(y, "u8")) for x, y in both]
+            linked = [_linked(set_of(x), set_of(y)) for x, y in zip(batch["packed_a"], batch["packed_b"])]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
@@ -327,7 +344,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = components(docs)
     keeps = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = found.filter(keeps).select(F.struct("doc_id").alias("id")).distinct()
-    rows = docs.select(F.struct("doc_id").alias("id"), F.struct("*").alias("row")).join(kept, "id", "left_semi")
-    # rows that share doc_id and text are the same document
-    return rows.groupBy("id", F.xxhash64("row.text").alias("tie")).agg(F.first("row").alias("row")).select("row.*")
+    kept = saved(found.filter(keeps).groupBy(F.struct("doc_id").alias("id")).count(), "kept")
+    rows = docs.select(F.struct("doc_id").alias("id"), F.struct("*").alias("row"))
+    # only texts whose doc_id repeats are shuffled; rows that share both are the same document
+    alone = rows.join(kept.filter("count = 1"), "id", "left_semi").select("row.*")
+    repeated = rows.join(kept.filter("count > 1"), "id", "left_semi")
+    repeated = repeated.groupBy("id", F.xxhash64("row.text").alias("tie")).agg(F.first("row").alias("row"))
+    return alone.unionByName(repeated.select("row.*"))
