@@ -121,7 +121,7 @@ def test_near_duplicates_are_those_of_brute_force(spark, odd, none):
     assert shingle_join.components(none[0]).collect() == []
 
 
-def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, none):
+def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, none, monkeypatch):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "zzz###qqq$$$"]
     docs = documents(spark, texts)
     counts = {r["g"]: r["c"] for r in quality_model.counts_of(docs.filter("doc_id < 3")).collect()}
@@ -154,6 +154,17 @@ def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, non
     for r in model.log_probabilities(frame).collect():
         assert 2.718281828459045 ** r["logp"] == pytest.approx(probability(r["g"], 4))
 
+    twice = quality_model.KneserNey(quality_model.counts_of(docs.union(docs).filter("doc_id < 3")))
+    logs = {r["g"]: r["logp"] for r in twice.log_probabilities(frame).collect()}
+    # scores are the same whether strings are sent to tasks or joined
+    trusted = spark.createDataFrame([(i, 1) for i in range(3)], "doc_id long, quality int")
+    for most in (0, 7, 1 << 20):
+        monkeypatch.setattr(quality_model, "SENT", most)
+        for r in quality_model.score(docs.union(docs), trusted).collect():
+            own = quality_model._strings(texts[r["doc_id"]]).tolist()
+            assert r["n"] == len(own)
+            assert r["nats"] == pytest.approx(-sum(logs[g] for g in own))
+
     rows = quality_model.classify(odd, labels).collect()
     assert len(rows) == odd.count()
     assert all(r["accepted"] for r in rows if r["doc_id"] in (0, 1))
