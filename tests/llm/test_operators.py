@@ -173,6 +173,28 @@ def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, non
     assert quality_model.classify(none[0], labels).collect() == []
 
 
+def test_quality_keeps_clean_texts_of_languages_with_few_trusted_ones(spark):
+    dice = random.Random(7)
+    alphabets = {0: "aeioutrns", 1: "aeıuklmdy", 2: "äöuipqrst", 5: "αειοντσκλ", 60: "etaoinshrdl"}
+    rows, trusted, junk = [], [], set()
+    for known, letters in alphabets.items():
+        words = ["".join(dice.choices(letters, k=dice.randint(2, 8))) for _ in range(80)]
+        for i in range(max(known, 1) + 40):
+            rows.append((len(rows), " ".join(dice.choices(words, k=dice.randint(60, 200))), f"with {known}"))
+            if i < known:
+                trusted.append((len(rows) - 1, 1))
+        for _ in range(3):
+            rows.append((len(rows), "".join(dice.choices("#$%&*0123456789XYZQ", k=600)), f"with {known}"))
+            junk.add(len(rows) - 1)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame(trusted, "doc_id long, quality int")
+    got = quality_model.classify(docs, labels).collect()
+    for known in alphabets:
+        clean = [r["accepted"] for r in got if r["lang"] == f"with {known}" and r["doc_id"] not in junk]
+        assert sum(clean) >= 0.95 * len(clean), known
+    assert not any(r["accepted"] for r in got if r["doc_id"] in junk)
+
+
 def test_url_rules_beyond_the_fixed_ones(spark):
     pages = spark.createDataFrame(
         [(1, None), (2, "no scheme"), (3, "http://A.B.c/x/y?q"), (4, "http://b.c/x"), (5, "x://c"), (5, "x://c"), (None, "h://z/")],
