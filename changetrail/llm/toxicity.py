@@ -5,11 +5,13 @@ forms count together). One weight vector serves all thresholds: the probability
 most k is the logistic of threshold k minus the text's score. The result is the expected grade.
 
 The labels say only whether a text is toxic. ``graded`` makes grades of them: 0 for texts that are
-not, 1 or 2 for toxic ones with fewer or more telling features than their median.
+not, 1 or 2 for toxic ones with fewer or more telling features than their median. Telling are those
+whose z is at least ``TELLING`` times the largest possible with as many labels, or 4 where that is less.
 
 The fit is on a bounded sample (``SAMPLE`` labelled texts, half of them toxic, chosen by a hash),
-with the ``FEATURES`` features that tell toxic texts from others best. Every text is judged
-whole. Null texts count as empty; without labels of both kinds all severities are 0. Repeated rows
+with the features that tell toxic texts from others best: ``PER_LABEL`` for each label of the rarer
+kind, ``FEATURES`` at most, and none is left out for being weak, as the fit's ridge shrinks those that
+are. Every text is judged whole. Null texts count as empty; without labels of both kinds all severities are 0. Repeated rows
 are each judged; extra columns are ignored.
 """
 
@@ -28,6 +30,8 @@ from .common import small_batches
 
 SAMPLE = 8000
 FEATURES = 2000
+PER_LABEL = 2
+TELLING = 0.6
 PREFIXES = (4, 5)
 
 _WORD = re.compile(r"[^\W\d_]+").findall
@@ -130,15 +134,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     best = (
         rows.groupBy("feature")
         .agg(apart.alias("z"), F.count("*").alias("n"))
-        .filter((F.col("n") >= 5) & (F.abs("z") >= 4))
-        .orderBy(F.desc(F.abs("z")), "feature")
-        .limit(FEATURES)
+        .orderBy(F.desc(F.abs("z")), F.desc("n"), "feature")
+        .limit(min(FEATURES, PER_LABEL * min(n_toxic, n_clean)))
         .toPandas()
     )
     if best.empty:
         return None
     place = {f: i for i, f in enumerate(best["feature"])}
-    telling = {f for f, z in zip(best["feature"], best["z"]) if z > 0}
+    least = min(4.0, TELLING * (2 * n_toxic * n_clean / (n_toxic + n_clean)) ** 0.5)
+    telling = {f for f, z in zip(best["feature"], best["z"]) if z >= least}
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

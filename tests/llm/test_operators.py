@@ -275,6 +275,22 @@ def test_severity_of_toxic_texts(spark, odd, none):
     assert {r["severity"] for r in toxicity.judge(odd, None).collect()} == {0.0}
 
 
+@pytest.mark.parametrize("n_toxic", [5, 11])
+def test_severity_is_learnt_from_few_labels(spark, n_toxic):
+    dice = random.Random(6)
+    neutral = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}xyz" for i in range(300)]
+    say = lambda i: " ".join(dice.choices(neutral, k=30) + (["vile", "crud"] if i < n_toxic or i >= 200 else []))
+    docs = documents(spark, [say(i) for i in range(220)])
+    labels = spark.createDataFrame([(i, int(i < n_toxic)) for i in range(80)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.severity("vile crud") > 10 * model.severity("axyz")
+    if n_toxic < 10:
+        return  # words that few texts share by chance still weigh too much to judge all of them right
+    toxic = {r["doc_id"] for r in toxicity.judge(docs, model).collect() if r["toxic"]}
+    held_out = set(range(200, 220))
+    assert len(toxic & held_out) >= 18 and len(toxic - held_out - set(range(n_toxic))) <= 4
+
+
 def test_fingerprints_are_homomorphic_and_edits_are_exact(spark, odd, none):
     pairs = [("a b\nc d e", "x\ny z"), ("one", ""), (LONG, "tail")]
     frame = spark.createDataFrame(pairs, "a string, b string").withColumn("ab", F.concat_ws("\n", "a", "b"))
