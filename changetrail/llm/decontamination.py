@@ -1,18 +1,14 @@
 """Passages of a benchmark in texts, also with small edits.
 
 An item is found where a stretch of a text is within ``EDITS`` edits per character of it. Both
-are compared as lower-case code points.
-
-1. Windows that cannot hold an item are passed over: an item with few edits keeps many of its
-   q-grams, so some stretch of ``span`` characters has a certain number of q-grams that any item
-   has (the q-gram lemma gives the number; nothing within the edits is lost).
-2. From places in what is left, item-sized windows go through the random walk of Chakraborty,
-   Goldenberg and Koucky: at each output step the current character is written, and a random bit
-   of step and character tells whether to go on to the next. Strings a few edits apart soon
-   walk in step again, so edit distance becomes Hamming distance.
-3. Bit-sampling LSH: ``WALKS`` times ``DRAWS`` tables, each keyed by ``BITS`` sampled output places
-   within the item's length. Windows that share a key with an item are candidates.
-4. Candidates are verified by the exact edit distance of the item to the best stretch there.
+are compared as code points, each in lower case where that is one code point.
+
+1. All q-grams of the items are looked up in a text. An item of n characters with e edits keeps
+   n - q + 1 - q * e of its q-grams (the q-gram lemma), and these lie on diagonals (place in the text
+   less place in the item) at most e apart. So hits are counted by item and stretches of e + 1
+   diagonals, and two neighbouring stretches with that many hits are a candidate. Nothing within the
+   edits is lost, whatever kind they are and wherever in the item.
+2. Candidates are verified by the exact edit distance of the item to the best stretch there.
 
 Items are compared in groups of ``ITEMS`` that each fit into a task; texts of any length are
 worked through whole. Items that are null or shorter than ``SHORTEST`` characters are no evidence
@@ -32,30 +28,43 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-EDITS = 0.04
+EDITS = 0.1
 SHORTEST = 32
 ITEMS = 20_000
-WALKS, DRAWS, BITS = 2, 20, 8
-_Q, _SPAN = 10, 48
+_Q = 8  # with EDITS and SHORTEST, the lemma's number is at least one
 _TABLE_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRETCH = 1 << 18  # characters searched at once
-_WINDOWS = 2048  # windows that walk side by side
+_HITS = 1 << 21  # pairs of places counted at once
+
+
+def _lower() -> np.ndarray:
+    """Each code point's lower case, itself where that is several code points."""
+    lows = (chr(i).lower() if not 0xD800 <= i < 0xE000 else chr(i) for i in range(0x20000))
+    return np.array([ord(low) if len(low) == 1 else i for i, low in enumerate(lows)], "u4")
+
+
+_LOWER = _lower()
 
 
 def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where(points < len(_LOWER), _LOWER[np.minimum(points, len(_LOWER) - 1)], points)
 
 
 def _grams(points: np.ndarray) -> np.ndarray:
-    """A table place for each q-gram."""
+    """A 64-bit hash of each q-gram."""
     n = len(points) - _Q + 1
     if n <= 0:
-        return np.zeros(0, "u4")
+        return np.zeros(0, "u8")
     key = points[:n].astype("u8")
     for j in range(1, _Q):
         key = key * np.uint64(1_000_003) + points[j : j + n]
-    return ((key * _MIX) >> np.uint64(64 - _TABLE_BITS)).astype("u4")
+    return key * _MIX
+
+
+def _places(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(64 - _TABLE_BITS)).astype("u4")
 
 
 class Index:
@@ -65,78 +74,26 @@ class Index:
         pairs = [(i, _points(t)) for i, t in items]
         pairs = [(i, p) for i, p in pairs if len(p) >= SHORTEST]
         self.ids, self.items = [i for i, _ in pairs], [p for _, p in pairs]
-        self.longest = max(map(len, self.items), default=0)
-        shortest = min(map(len, self.items), default=0)
-        self.span = min(_SPAN, shortest)
-        # of an item's disjoint stretches, one has at most an equal part of the edits; a stretch
-        # with e edits keeps span - q + 1 - q * e q-grams
-        most = max((int(len(p) * EDITS) // (len(p) // self.span) for p in self.items), default=0)
-        self.least = max(1, self.span - _Q + 1 - _Q * most)
-        self.seen = np.zeros(1 << _TABLE_BITS, "u1")
-        for p in self.items:
-            self.seen[_grams(p)] = 1
-        random = np.random.default_rng(5)
-        self.steps = 2 * self.longest
-        self.coins = random.integers(0, 2, (WALKS, self.steps, 256))
-        # places are drawn from as many steps as nearly surely stay within the item
-        self.sizes = [int(len(p) * 1.6) // 32 * 32 for p in self.items]
-        self.draws = {
-            s: random.integers(0, s, (WALKS, DRAWS, BITS)) for s in sorted(set(self.sizes))
-        }
-        self.tables: dict[int, dict[int, list[int]]] = {s: {} for s in self.draws}
-        if self.items:
-            padded = self._windows(self.items)
-            for walk in range(WALKS):
-                out = self._walk(padded, walk)
-                for k, size in enumerate(self.sizes):
-                    for key in self._keys(out[k : k + 1], size, walk)[0].tolist():
-                        self.tables[size].setdefault(key, []).append(k)
-        self.known = {s: np.array(sorted(t), "u8") for s, t in self.tables.items()}
-
-    def _walk(self, windows: np.ndarray, walk: int) -> np.ndarray:
-        """Outputs (rows, steps) of the random walk over each row of one-byte characters.
-
-        Rows are as wide as the walk is long, with zeros behind the characters.
-        """
-        flat = windows.reshape(-1)
-        at = np.arange(len(windows)) * windows.shape[1]
-        out = np.empty((self.steps, len(windows)), "u1")
-        for step in range(self.steps):
-            np.take(flat, at, out=out[step])
-            at += self.coins[walk, step].take(out[step])
-        return out.T
-
-    def _windows(self, pieces: list[np.ndarray]) -> np.ndarray:
-        """The pieces as rows for the walk, each character folded into one byte."""
-        windows = np.zeros((len(pieces), self.steps + 1), "u1")
-        for row, piece in enumerate(pieces):
-            windows[row, : len(piece)] = (piece ^ (piece >> 8)) & 255
-        return windows
-
-    def _keys(self, out: np.ndarray, size: int, walk: int) -> np.ndarray:
-        """One key per row and draw; draws have different keys even for equal samples."""
-        picked = out[:, self.draws[size][walk]].astype("u8")
-        key = np.full(picked.shape[:2], walk * DRAWS + 1, "u8") + np.arange(DRAWS, dtype="u8")
-        for b in range(BITS):
-            key = (key ^ picked[:, :, b]) * _MIX
-            key ^= key >> np.uint64(29)
-        return key
+        sizes = np.array([len(p) for p in self.items], "i8")
+        self.longest = int(sizes.max(initial=0))
+        self.most = np.array([int(n * EDITS) for n in sizes.tolist()], "i8")
+        self.least = sizes - _Q + 1 - _Q * self.most
+        # places (item, offset) of every q-gram, ordered by it
+        grams = [_grams(p) for p in self.items]
+        every = np.concatenate([np.zeros(0, "u8"), *grams])
+        order = np.argsort(every, kind="stable")
+        self.keys, self.first, self.times = np.unique(every[order], return_index=True, return_counts=True)
+        self.item = np.repeat(np.arange(len(grams), dtype="i4"), [len(g) for g in grams])[order]
+        self.offset = np.concatenate([np.zeros(0, "i4"), *(np.arange(len(g), dtype="i4") for g in grams)])[order]
+        self.seen = np.zeros(1 << _TABLE_BITS, bool)
+        self.seen[_places(self.keys)] = True
 
     def search(self, texts: list[str | None]) -> list[list[tuple[object, int, int, int]]]:
         """For each text (item, start, end, edits) of every item found, once for each place."""
         found: list[set[tuple[int, int, int, int]]] = [set() for _ in texts]
-        waiting: list[tuple[int, np.ndarray, int, np.ndarray]] = []
-        held = 0
-        for number, text in enumerate(texts):
+        for own, text in zip(found, texts):
             for base, points in self._parts(text):
-                starts = self._starts(points)
-                if len(starts):
-                    waiting.append((number, points, base, starts))
-                    held += len(starts)
-                    if held >= _WINDOWS:
-                        self._verify(waiting, found)
-                        waiting, held = [], 0
-        self._verify(waiting, found)
+                self._verify(points, base, self._candidates(points), own)
         return [[(self.ids[k], a, b, e) for k, a, b, e in sorted(own)] for own in found]
 
     def _parts(self, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
@@ -144,83 +101,100 @@ class Index:
         if not text or not self.items:
             return
         points = _points(text)
-        if len(points) != len(text):  # lower case changed the length: such texts are compared as they are
-            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
         for base in range(0, len(points), _STRETCH):
-            yield base, points[base : base + _STRETCH + 2 * self.longest + _SPAN]
-
-    def _starts(self, points: np.ndarray) -> np.ndarray:
-        """Where items may begin: beginnings of words and of common q-grams in dense stretches."""
-        hits = self.seen[_grams(points)]
-        width = self.span - _Q + 1
-        if len(hits) < width:
-            return np.zeros(0, "i8")
-        sums = np.concatenate([[0], np.cumsum(hits, dtype="i4")])
-        dense = np.flatnonzero(sums[width:] - sums[:-width] >= self.least)
-        if not len(dense):
-            return np.zeros(0, "i8")
-        near = np.zeros(len(points) + 1, "i4")
-        np.add.at(near, np.maximum(dense - _Q, 0), 1)
-        np.add.at(near, np.minimum(dense + self.span, len(points)), -1)
-        near = np.cumsum(near[:-1]) > 0
-        begins = np.zeros(len(points), bool)
-        begins[1:] = points[:-1] <= 32
-        begins[0] = True
-        begins[1 : len(hits)] |= (hits[1:] > 0) & (hits[:-1] == 0)
-        return np.flatnonzero(near & begins & (points > 32))
-
-    def _verify(self, waiting: list, found: list[set]) -> None:
-        """Candidates of all waiting windows by the hashed walks, then exact edit distances."""
-        rows = [(w, int(s)) for w, (_, _, _, starts) in enumerate(waiting) for s in starts]
-        candidates: dict[tuple[int, int], set[int]] = {}
-        for at in range(0, len(rows), _WINDOWS):
-            block = rows[at : at + _WINDOWS]
-            windows = self._windows([waiting[w][1][s : s + self.longest] for w, s in block])
-            for walk in range(WALKS):
-                out = self._walk(windows, walk)
-                for size, known in self.known.items():
-                    keys = self._keys(out, size, walk)
-                    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                    for row, draw in zip(*np.nonzero(known[place] == keys)):
-                        w, start = block[row]
-                        for k in self.tables[size][int(keys[row, draw])]:
-                            candidates.setdefault((w, k), set()).add(start)
-        for (w, k), places in candidates.items():
-            number, points, base, _ = waiting[w]
-            size = len(self.items[k])
-            most = int(size * EDITS)
-            left = sorted(places)
-            while left:
-                # neighbouring starts are verified together
-                group = [p for p in left if p <= left[0] + size]
-                left = left[len(group) :]
-                begin, stop = max(0, group[0] - most - 1), min(len(points), group[-1] + size + most + 1)
-                match = _nearest(self.items[k], points[begin:stop], most)
-                if match and begin + match[0] < _STRETCH:
-                    found[number].add((k, base + begin + match[0], base + begin + match[1], match[2]))
+            # an item and its edits, which begins in the part, and as much before it is verified
+            yield base, points[base : base + _STRETCH + 4 * self.longest]
+
+    def _candidates(self, points: np.ndarray) -> list[tuple[int, int]]:
+        """Items and the first of the diagonals on which they have enough hits, both rising."""
+        grams = _grams(points)
+        at = np.flatnonzero(self.seen[_places(grams)])
+        if not len(at):
+            return []
+        place = np.minimum(np.searchsorted(self.keys, grams[at]), len(self.keys) - 1)
+        same = self.keys[place] == grams[at]
+        at, place = at[same], place[same]
+        times = self.times[place]
+        if not len(at) or times.sum() < self.least.min():
+            return []
+        span = len(points) + self.longest + 1
+        keys, counts = np.zeros(0, "i8"), np.zeros(0, "i8")
+        ends = np.cumsum(times)
+        begin = 0
+        while begin < len(at):  # pieces of bounded size, though a q-gram may be in every item
+            done = ends[begin - 1] if begin else 0
+            stop = max(begin + 1, int(np.searchsorted(ends, done + _HITS)))
+            n = times[begin:stop]
+            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            where = np.repeat(self.first[place[begin:stop]], n) + within
+            item = self.item[where].astype("i8")
+            diagonal = np.repeat(at[begin:stop], n) - self.offset[where] + self.longest
+            new, number = np.unique(item * span + diagonal // (self.most[item] + 1), return_counts=True)
+            if len(keys):
+                new, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                number = np.bincount(back, np.concatenate([counts, number]), len(new)).astype("i8")
+            keys, counts = new, number
+            begin = stop
+        both = counts.copy()
+        both[:-1] += np.where(keys[1:] == keys[:-1] + 1, counts[1:], 0)
+        # the second stretch alone is the first of a pair too
+        item = keys // span
+        enough = both >= self.least[item]
+        item = item[enough]
+        return list(zip(item.tolist(), (keys[enough] % span * (self.most[item] + 1) - self.longest).tolist()))
+
+    def _verify(self, points: np.ndarray, base: int, candidates: list[tuple[int, int]], found: set) -> None:
+        """Adds what is within the edits."""
+        at = 0
+        while at < len(candidates):
+            k, first = candidates[at]
+            size, most = len(self.items[k]), int(self.most[k])
+            last = first
+            # neighbouring stretches are verified together
+            while at < len(candidates) and candidates[at][0] == k and candidates[at][1] <= first + size // 2:
+                last = candidates[at][1]
+                at += 1
+            begin = max(0, first - most - 1)
+            stop = min(len(points), last + 2 * (most + 1) + size + most + 1)
+            match = _nearest(self.items[k], points[begin:stop], most)
+            if match and begin + match[0] < _STRETCH:
+                found.add((k, base + begin + match[0], base + begin + match[1], match[2]))
+
+
+def _distances(item: list[int], points: list[int], free: bool) -> Iterator[int]:
+    """Edits between the item and the points up to each place, from any place if free, else from the first
+    (the bit-parallel recurrence of Myers)."""
+    full, high = (1 << len(item)) - 1, 1 << (len(item) - 1)
+    own: dict[int, int] = {}
+    for i, c in enumerate(item):
+        own[c] = own.get(c, 0) | 1 << i
+    more, less, edits = full, 0, len(item)
+    yield edits
+    for c in points:
+        equal = own.get(c, 0)
+        down = equal | less
+        across = (((equal & more) + more) ^ more) | equal
+        up = less | full & ~(across | more)
+        fall = more & across
+        edits += bool(up & high) - bool(fall & high)
+        up = (up << 1 | (not free)) & full
+        fall = fall << 1 & full
+        more = fall | full & ~(down | up)
+        less = up & down
+        yield edits
 
 
 def _nearest(item: np.ndarray, points: np.ndarray, most: int) -> tuple[int, int, int] | None:
     """(start, end, edits) of the stretch nearest to the item, if within ``most`` edits."""
-    def last_row(a: np.ndarray, b: np.ndarray, free: bool) -> np.ndarray:
-        places = np.arange(len(b) + 1)
-        row = np.zeros(len(b) + 1, "i4") if free else places.astype("i4")
-        for i, c in enumerate(a):
-            new = np.empty_like(row)
-            new[0] = i + 1
-            new[1:] = np.minimum(row[:-1] + (b != c), row[1:] + 1)
-            row = np.minimum.accumulate(new - places) + places  # insertions
-        return row
-
-    ends = last_row(item, points, True)
-    edits = int(ends.min())
+    own, text = item.tolist(), points.tolist()
+    ends = list(_distances(own, text, True))
+    edits = min(ends)
     if edits > most:
         return None
-    end = int(np.flatnonzero(ends == edits)[0])
+    end = ends.index(edits)
     # the same backwards from that end gives the start
-    back = last_row(item[::-1], points[:end][::-1], False)
-    start = end - int(np.flatnonzero(back == back.min())[0])
-    return start, end, edits
+    back = list(_distances(own[::-1], text[max(0, end - len(own) - most) : end][::-1], False))
+    return end - back.index(min(back)), end, edits
 
 
 def _indexes(benchmark: DataFrame) -> list[Index]:

@@ -236,6 +236,27 @@ def test_leaks_with_edits_are_found_and_clean_texts_are_not(spark, odd, none):
     assert decontamination.leaks(none[0], benchmark).collect() == []
 
 
+def test_leaks_with_replaced_dropped_and_leading_words_are_found():
+    dice = random.Random(12)
+    words = ["".join(dice.choices("abcdefghijklmnopqrstuvwxyz", k=dice.randint(2, 9))) for _ in range(400)]
+    say = lambda n: [dice.choice(words) for _ in range(n)]
+    items = [say(40) for _ in range(60)]
+    index = decontamination.Index([(i, " ".join(w)) for i, w in enumerate(items)])
+    edits = {
+        "replaced": lambda w: [*w[:9], "newword", *w[10:]],
+        "two replaced": lambda w: [*w[:9], "newword", *w[10:30], "other", *w[31:]],
+        "dropped": lambda w: w[:20] + w[21:],
+        "first missing": lambda w: w[1:],
+        "last missing": lambda w: w[:-1],
+        "capitals that grow in lower case": lambda w: [t.upper() for t in w] + ["\u0130"],
+    }
+    for name, edit in edits.items():
+        texts = [" ".join(say(50) + edit(w) + say(50)) for w in items]
+        got = index.search(texts)
+        assert all(i in {m[0] for m in own} for i, own in enumerate(got)), name
+        assert all(m[0] == i for i, own in enumerate(got) for m in own), name
+
+
 def test_perspectives_of_odd_turns(spark):
     turns = spark.createDataFrame(
         [(1, 0, "ann", "hi"), (1, 1, "bob", None), (1, 1, "bob", None), (1, None, None, "<|x"), (None, 70, "ann", "z"), (1, 64, "eve\n", "q")],
