@@ -5,8 +5,9 @@ the assistant and all others as users named by their role; the mask lists the sp
 assistant's words and end marks, from which alone a model should learn.
 
 A dialogue comes in parts of ``TURNS`` consecutive turn numbers, one row per part and
-perspective, so that a conversation of any length is rendered whole without ever being in one
-task; short dialogues have one part. Turns with the same number follow each other by role and
+perspective, so that a conversation of any length is rendered whole, and without being in one task
+if its turn numbers differ; short dialogues have one part. Turns with equal numbers are never parted,
+nor are null ones, so a part has no bound where these are many: it must fit into one row. Turns with the same number follow each other by role and
 text, repeated rows are rendered as often as they occur. A null turn number counts as -1, a null
 role as the speaker ``unknown``, a null text as empty; turns without conv_id form one
 conversation. Extra columns are ignored.
