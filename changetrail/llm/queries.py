@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from . import byte_pair_coding as bpe
 from . import chat_perspectives as chat
-from . import decontamination, language_id, multiset_fingerprint, quality_model
+from . import centroid_clusters, decontamination, language_id, lexical_search, line_dedup
+from . import multiset_fingerprint, quality_model
 from . import secret_scan, shingle_join, toxicity, url_rules
 from .common import table
 
@@ -75,6 +76,20 @@ def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroid_clusters.cluster(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_secrets": secrets,
     "op2_language": languages,
@@ -86,6 +101,9 @@ QUERIES = {
     "op8_toxicity": severities,
     "op9_fingerprints": fingerprints,
     "op10_bpe": token_ids,
+    "op11_line_dedup": repeated_lines,
+    "op12_centroid_clusters": centroid_clustering,
+    "op13_lexical_search": ranked_search,
 }
 
 _NEAR_DUPLICATES = r"""
@@ -120,4 +138,7 @@ ORACLE_SQL = {
     "op3_near_duplicates": _NEAR_DUPLICATES,
     "op5_url_rules": url_rules.oracle(RULES),
     "op7_perspectives": chat.ORACLE,
+    "op11_line_dedup": line_dedup.ORACLE,
+    "op12_centroid_clusters": centroid_clusters.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
