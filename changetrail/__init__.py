@@ -5,6 +5,8 @@ from .plans import (
     append_log,
     change_log,
     changed_rows,
+    clean_table,
+    compact_table,
     held_rows,
     incremental_change_log,
     initial_change_log,
@@ -17,6 +19,7 @@ from .sources import (
     control_table,
     dated_paths,
     historical_tables,
+    listed_tables,
     log_tables,
     log_tables_by_db,
     read_feed,
@@ -36,6 +39,8 @@ __all__ = [
     "build_session",
     "change_log",
     "changed_rows",
+    "clean_table",
+    "compact_table",
     "conform",
     "control_table",
     "dated_paths",
@@ -45,6 +50,7 @@ __all__ = [
     "initial_change_log",
     "lag_previous",
     "latest_values",
+    "listed_tables",
     "load_feed",
     "log_tables",
     "log_tables_by_db",

@@ -6,9 +6,11 @@ from .expressions import (
     date_parts,
     event_micros,
     file_kind,
+    generation_after,
     in_date_window,
     is_table,
     key_columns,
+    plain_content,
     sequence_text,
     source_literals,
 )
@@ -21,9 +23,11 @@ __all__ = [
     "date_parts",
     "event_micros",
     "file_kind",
+    "generation_after",
     "in_date_window",
     "is_table",
     "key_columns",
+    "plain_content",
     "sequence_text",
     "source_literals",
 ]

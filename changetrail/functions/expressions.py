@@ -85,6 +85,22 @@ def content_order(columns: Sequence[Column]) -> Column:
     return F.hex(F.xxhash64(*columns))
 
 
+def plain_content(order: Column) -> Column:
+    """The content's hash in an order that ``generation_after`` may have made."""
+    return F.when(order.startswith("~"), F.substring(order, 10, 1 << 20)).otherwise(order)
+
+
+def generation_after(prior: Column, content: Column) -> Column:
+    """An order for content that comes after what was known of the same instant, whatever the hashes are.
+
+    ``~``, which no hash holds and which sorts after all of them, the number of the generation in eight digits,
+    and the content's hash.
+    """
+    known = F.when(prior.startswith("~"), F.substring(prior, 2, 8).cast("int")).otherwise(F.lit(0))
+    number = F.lpad((F.coalesce(known, F.lit(0)) + 1).cast("string"), 8, "0")
+    return F.concat(F.lit("~"), number, content)
+
+
 def cell_changed(value: Column, previous: Column, semantics: str) -> Column:
     """Does one cell differ from its predecessor?
 

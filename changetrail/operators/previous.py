@@ -27,14 +27,18 @@ def versions(conformed: DataFrame, spec: TableSpec, semantics: str, emit_deletes
     if emit_deletes:
         kept = ~F.col(OP).eqNullSafe("D")
         values = {name: F.when(kept, value) for name, value in values.items()}
-    logged = F.struct(at.alias("at"), F.col(ORDER).alias(ORDER))
+    logged = F.struct(at.alias("at"), F.col(ORDER).alias(ORDER), F.lit(None).cast("array<string>").alias("ties"))
+    order = F.col(ORDER)
+    if not spec.sequence and semantics != REFERENCE:
+        # whatever is new at the log's last instant follows what the log holds of it
+        order = F.when(F.col(FROM_LOG), "").otherwise(order)
     return conformed.select(
         *KEYS,
         OP,
         TIME,
         USER,
         at.alias("at"),
-        ORDER,
+        order.alias(ORDER),
         F.when(F.col(FROM_LOG), _LOGGED).otherwise(_FEED).alias("origin"),
         F.when(F.col(FROM_LOG), logged).alias("logged"),
         F.struct(*[value.alias(name) for name, value in values.items()]).alias("now"),
@@ -45,28 +49,55 @@ def position() -> Column:
     return F.struct("at", ORDER)
 
 
+def from_state(state: DataFrame) -> DataFrame:
+    """Rows of ``state_as_baseline`` as versions that the log holds."""
+    return state.withColumn("origin", F.lit(_LOGGED)).drop(FROM_LOG)
+
+
+def _set_apart(feed: DataFrame, known: DataFrame) -> DataFrame:
+    """Mark versions that have been seen at the entity's last instant, by their content (see ``state.py``).
+
+    They precede nothing: what follows is compared with the state instead.
+    """
+    key = F.struct(*KEYS).alias("key")
+    last = known.select(key, F.col("logged").alias("last"))
+    again = (F.col("at") == F.col("last.at")) & F.array_contains("last.ties", F.col(ORDER))
+    marked = feed.withColumn("key", key).join(last, "key", "left")
+    return marked.withColumn("apart", F.coalesce(again, F.lit(False))).drop("key", "last")
+
+
 def compare(
     feed: DataFrame,
     spec: TableSpec,
     semantics: str,
     baseline: DataFrame | None = None,
     hot: HotKeys | None = HotKeys(),
+    seen: bool = False,
 ) -> DataFrame:
     """Add ``before`` and ``op_before``: values and operation of the entity's preceding version.
 
     ``feed`` and ``baseline`` come from ``versions``. Everything happens in one window over
     one shuffle. With a baseline in strict semantics, ``logged_until`` is the last position
     the log holds for the entity. The result also holds baseline rows: see ``is_feed``.
+
+    A baseline from the state of a table without ``sequence`` costs one more join, which sets apart the versions that
+    were seen before at the same instant (``apart``).
     """
+    apart = baseline is not None and not spec.sequence and semantics != REFERENCE and seen
+    if apart:
+        feed, baseline = _set_apart(feed, baseline), baseline.withColumn("apart", F.lit(False))
     keys = list(KEYS[: max(1, min(len(spec.primary_key), len(KEYS)))])
     key_hash = F.xxhash64(*keys)
     rows = feed if baseline is None else feed.unionByName(baseline)
     slices = find_slices(feed, key_hash, position(), hot) if hot else None
     partition = keys
     if slices:
-        heads = _headers(slices, rows, keys, key_hash)
+        heads = _headers(slices, rows.where(~F.col("apart")) if apart else rows, keys, key_hash)
+        heads = heads.withColumn("apart", F.lit(False)) if apart else heads
         rows = slices.assign(rows, key_hash, position()).unionByName(heads)
         partition = [*keys, "slice"]
+    if apart:
+        partition = [*partition, "apart"]
 
     # Undated rows (strict only) come last, so that they precede no other version.
     at = F.col("at").asc() if semantics == REFERENCE else F.col("at").asc_nulls_last()
@@ -79,6 +110,10 @@ def compare(
     return rows.select("*", *columns)
 
 
+def is_apart(compared: DataFrame) -> Column:
+    return F.col("apart") if "apart" in compared.columns else F.lit(False)
+
+
 def is_feed() -> Column:
     return F.col("origin") == _FEED
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import threading
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -10,15 +11,20 @@ from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.conform import conform
 from ..operators.hot_keys import UNKNOWN_BYTES, HotKeys, estimated_bytes
+from ..operators.late import repaired_cells
 from ..sources.control import control_rows, historical_tables, spec_of
 from ..sources.feed import read_feed
+from ..sources.batches import FULL, HELD, LOAD, LOGGED, new_id, publish, published
 from ..sources.log import load_finished, read_log, table_in_log
-from ..spec import STRICT, TableSpec
-from .change_log import change_log, held_rows
-from .sink import append_log, purge_table
+from ..spec import DATE_PARTS, KEYS, LOG_SCHEMA, OP, SOURCE, STRICT, TIME, USER, TableSpec
+from .change_log import change_log, change_log_and_held_rows, without_known
+from .sink import append_log, purge_table, state_root, write_log
+from .table_state import BUCKETS, read_state, state_of_log, touched_buckets, write_state
 
 REPORT_SCHEMA = (
     "rds string, db string, tb string, action string, status string, feed_rows bigint, "
@@ -37,18 +43,29 @@ _DROPS_COUNTERS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRela
 _BYTES_PER_PARTITION = (256 << 20) // 3
 
 
+_IN_USE: dict[str, tuple[int, dict]] = {}
+_LOCK = threading.Lock()
+
+
 @contextmanager
 def restored_settings(spark: SparkSession):
-    """Put the settings that loads adjust back as they were."""
-    before = {name: spark.conf.get(name, None) for name in (_PARTITIONS, _EXCLUDED)}
+    """Put the settings that loads adjust back as they were, once no load of this session is under way any more."""
+    session = spark.sparkContext.applicationId + spark._jsparkSession.sessionUUID()
+    with _LOCK:
+        users, before = _IN_USE.get(session) or (0, {n: spark.conf.get(n, None) for n in (_PARTITIONS, _EXCLUDED)})
+        _IN_USE[session] = (users + 1, before)
     try:
         yield
     finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
+        with _LOCK:
+            users, before = _IN_USE.pop(session)
+            if users > 1:
+                _IN_USE[session] = (users - 1, before)
+            for name, value in before.items() if users == 1 else ():
+                if value is None:
+                    spark.conf.unset(name)
+                else:
+                    spark.conf.set(name, value)
 
 
 def _keep_counters(spark: SparkSession) -> None:
@@ -73,6 +90,14 @@ def _allow_partitions(spark: SparkSession, wanted: int) -> None:
         spark.conf.set(_PARTITIONS, str(wanted))
 
 
+# What is done about rows that come after newer ones of their entity.
+HOLD, REPAIR = "hold", "repair"
+_BATCH_SCHEMA = T.StructType(
+    [*LOG_SCHEMA.fields[:8], T.StructField("reason", T.StringType()), T.StructField("at", T.LongType())]
+    + [T.StructField("row_values", T.MapType(T.StringType(), T.StringType()))]
+)
+
+
 def load_feed(
     conformed: DataFrame,
     spec: TableSpec,
@@ -80,47 +105,111 @@ def load_feed(
     semantics: str = STRICT,
     *,
     held_path: str | None = None,
+    state_path: str | None = None,
+    late: str = HOLD,
     emit_deletes: bool = False,
     hot: HotKeys | None = HotKeys(),
 ) -> dict:
-    """Append what a conformed feed changes to the log, in one write; return the counts.
+    """Append what a conformed feed changes to the log; return the counts.
+
+    Strict semantics compares the feed with the table's state beside the log (``<log_path>_state``, or
+    ``state_path``), which the same load brings up to date; the log itself is read only where it has rows that came
+    without state. Log rows and the rows held back are written by one job, from one comparison; the rows held back are then
+    copied to ``held_path`` (by default ``<log_path>_held``). All of it becomes visible at once, by one
+    marker (see ``batches.py``): a load that ends before leaves the log as it was.
 
-    Counting rides on that write; feed rows that Spark reads again after losing an executor
-    count again, which affects the report and nothing else. Only when rows are held back does a
-    second job run, to store them under ``held_path`` (by default beside the log, in
-    ``<log_path>_held``). An empty feed writes nothing.
+    ``late="repair"`` also logs what rows behind newer ones change (see ``repaired_cells``); for that the log
+    of their entities is read. They count as behind, and are kept as such, in either case.
+
+    Counting rides on the write; feed rows that Spark reads again after losing an executor
+    count again, which affects the report and nothing else. An empty feed writes nothing.
     """
+    if late not in (HOLD, REPAIR):
+        raise ValueError(f"late must be '{HOLD}' or '{REPAIR}', not {late!r}")
     with restored_settings(conformed.sparkSession):
-        return _load(conformed, spec, log_path, semantics, held_path, emit_deletes, hot)
+        if semantics != STRICT:
+            return _load_plain(conformed, spec, log_path, semantics, hot)
+        return _load(conformed, spec, log_path, held_path, state_path, late, emit_deletes, hot)
+
+
+def _prepare(conformed: DataFrame, *others: DataFrame | None) -> None:
+    spark = conformed.sparkSession
+    _keep_counters(spark)
+    _allow_partitions(spark, partitions_for(*[df for df in (conformed, *others) if df is not None]))
+
+
+def _load_plain(
+    conformed: DataFrame, spec: TableSpec, log_path: str, semantics: str, hot: HotKeys | None
+) -> dict:
+    """A load that compares with the log, and writes nothing but log rows."""
+    spark = conformed.sparkSession
+    log = read_log(spark, log_path, spec) if table_in_log(spark, log_path, spec) else None
+    action = "initial" if log is None else "incremental"
+    if conformed.isEmpty():
+        return {"action": action, **dict.fromkeys(_COUNTS, 0)}
+    _prepare(conformed, log)
+    read, written = Observation(), Observation()
+    append_log(change_log(conformed, spec, semantics, log=log, hot=hot, counts=read), log_path, spec, written)
+    return {"action": action, **read.get, **written.get}
 
 
 def _load(
     conformed: DataFrame,
     spec: TableSpec,
     log_path: str,
-    semantics: str,
     held_path: str | None,
+    state_path: str | None,
+    late: str,
     emit_deletes: bool,
     hot: HotKeys | None,
 ) -> dict:
     spark = conformed.sparkSession
-    log = read_log(spark, log_path, spec) if table_in_log(spark, log_path, spec) else None
-    action = "initial" if log is None else "incremental"
+    log_path = log_path.rstrip("/")
+    folder = f"{log_path}/{spec.log_folder}"
+    states = f"{(state_path or state_root(log_path)).rstrip('/')}/{spec.log_folder}"
+    since = published(spark, folder)
+    action = "incremental" if since.batches else "initial"
     if conformed.isEmpty():
         return {"action": action, **dict.fromkeys(_COUNTS, 0)}
-    _keep_counters(spark)
-    _allow_partitions(spark, partitions_for(*[df for df in (conformed, log) if df is not None]))
-    read, written = Observation(), Observation()
-    cells = change_log(
-        conformed, spec, semantics, log=log, emit_deletes=emit_deletes, hot=hot, counts=read
+    if since.state:
+        buckets, kind = since.buckets, LOAD
+        state = read_state(spark, states, since, touched_buckets(conformed, buckets))
+    else:
+        buckets, kind = BUCKETS, f"{FULL}{BUCKETS}"
+        state = state_of_log(read_log(spark, log_path, spec), spec)
+    _prepare(conformed, state)
+
+    batch, read, written = new_id(), Observation(), Observation()
+    before = state if since.batches else None
+    rows = change_log_and_held_rows(
+        conformed, spec, state=before, emit_deletes=emit_deletes, hot=hot, counts=read
+    )
+    if since.batches and not since.state and not spec.sequence:
+        rows = without_known(rows, conformed, read_log(spark, log_path, spec), spec)
+    outcome = F.when(F.col("reason").isNull(), LOGGED).otherwise(HELD)
+    write_log(
+        rows.withColumn("outcome", outcome).drop(*SOURCE),
+        f"{folder}/batch={batch}",
+        ["outcome", "column_name", *DATE_PARTS],
+        written,
     )
-    append_log(cells, log_path, spec, written)
     counts = {**read.get, **written.get}
-    if semantics == STRICT and counts["behind_rows"] + counts["undated_rows"]:
-        # ``log`` lists its files since before the append, so this sees what the append saw
-        held = held_rows(conformed, spec, log, hot)
-        held_path = held_path or f"{log_path.rstrip('/')}_held"
-        held.write.mode("append").parquet(f"{held_path.rstrip('/')}/{spec.log_folder}")
+    if counts["behind_rows"] + counts["undated_rows"]:
+        held = spark.read.schema(_BATCH_SCHEMA).parquet(f"{folder}/batch={batch}/outcome={HELD}")
+        values = [F.col("row_values").getItem(name).alias(name) for name in spec.audit_columns]
+        held_path = held_path or f"{log_path}_held"
+        held.select("reason", OP, *KEYS, TIME, USER, *values).write.mode("append").parquet(
+            f"{held_path.rstrip('/')}/{spec.log_folder}"
+        )
+        if late == REPAIR and counts["behind_rows"]:
+            behind = held.where("reason = 'behind'")
+            repaired = repaired_cells(behind, read_log(spark, log_path, spec), state, spec).drop(*SOURCE)
+            added = Observation()
+            target = f"{folder}/batch={batch}/outcome={LOGGED}"
+            write_log(repaired, target, ["column_name", *DATE_PARTS], added)
+            counts["changes"] += added.get["changes"]
+    write_state(state, conformed, spec, states, batch, buckets)
+    publish(spark, folder, since, batch, kind)
     return {"action": action, **counts}
 
 
@@ -136,9 +225,12 @@ def run(
     semantics: str = STRICT,
     last_only: bool = False,
     held_path: str | None = None,
+    state_path: str | None = None,
+    late: str = HOLD,
     emit_deletes: bool = False,
     hot: HotKeys | None = HotKeys(),
     tables_at_once: int = 4,
+    merge_schema: bool = True,
 ) -> DataFrame:
     """Process every control row and report one row per table.
 
@@ -154,14 +246,25 @@ def run(
         try:
             spec = spec_of(row)
             if spec.is_delete:
-                purge_table(spark, log_path, spec)
+                purge_table(spark, log_path, spec, state_path)
             else:
                 # a first load that was cut short is read in full again
                 loaded = load_finished(spark, log_path, spec)
                 mode = "incremental" if loaded else "historical" if historical else "full"
-                feed = read_feed(spark, feed_root, spec, mode, run_date=run_date, days=days)
-                feed = conform(feed, spec)
-                detail |= _load(feed, spec, log_path, semantics, held_path, emit_deletes, hot)
+                feed = read_feed(
+                    spark, feed_root, spec, mode, run_date=run_date, days=days, merge_schema=merge_schema
+                )
+                detail |= load_feed(
+                    conform(feed, spec),
+                    spec,
+                    log_path,
+                    semantics,
+                    held_path=held_path,
+                    state_path=state_path,
+                    late=late,
+                    emit_deletes=emit_deletes,
+                    hot=hot,
+                )
                 if not detail["feed_rows"]:
                     detail["status"] = "empty"
         except Exception as error:  # one table's failure must not hide the others' results

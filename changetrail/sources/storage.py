@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,10 +20,44 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(target)
 
 
-def marks_success(spark: SparkSession) -> bool:
-    """Do completed writes leave a ``_SUCCESS`` file?"""
-    name = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    return spark._jsc.hadoopConfiguration().getBoolean(name, True)
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly below a folder, none if there is no such folder."""
+    file_system, target = _handle(spark, folder)
+    return [s.getPath().getName() for s in file_system.listStatus(target)] if file_system.exists(target) else []
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern with ``*``."""
+    file_system, target = _handle(spark, pattern)
+    return [s.getPath().toString() for s in file_system.globStatus(target) or ()]
+
+
+def create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False, and nothing done, if it exists. This is what decides between two writers."""
+    file_system, target = _handle(spark, path)
+    return file_system.createNewFile(target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    file_system, target = _handle(spark, path)
+    stream = file_system.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    file_system, target = _handle(spark, path)
+    stream = file_system.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def age_seconds(spark: SparkSession, path: str) -> float:
+    """How long ago a file or folder was last written."""
+    file_system, target = _handle(spark, path)
+    return time.time() - file_system.getFileStatus(target).getModificationTime() / 1000
 
 
 def delete(spark: SparkSession, path: str) -> bool:
@@ -39,7 +75,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if not shared:
         shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="changetrail-")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
