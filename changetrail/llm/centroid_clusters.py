@@ -40,7 +40,9 @@ BLOCKS = (4, 4, 8, 16, 32)
 #: Integers up to this size have squared distances of transforms that fit in 64 bits.
 _FITS = 1 << 21
 _LARGEST = 2**63 - 1
+#: Bits of a limb, and the mark of a count among limbs.
 _LIMB = 40
+_COUNT = -1
 
 
 def _hadamard(rows: np.ndarray) -> np.ndarray:
@@ -101,6 +103,16 @@ def _integers(vectors: pa.Array, dims: int, scale: int) -> np.ndarray:
     return np.array([[int(x) for x in row] for row in scaled.tolist()], object).reshape(-1, dims)
 
 
+def _limbs(number: int) -> Iterator[tuple[int, int]]:
+    """The number's limbs that are not 0, each with the number's sign."""
+    sign, left, place = (-1 if number < 0 else 1), abs(number), 0
+    while left:
+        if part := left & ((1 << _LIMB) - 1):
+            yield place, sign * part
+        left >>= _LIMB
+        place += 1
+
+
 class _Model:
     """Centroids as lists of Python's integers; small, and sent along with the tasks."""
 
@@ -149,30 +161,27 @@ def _moved(kept: DataFrame, centroids: list[list[int]], dims: int, scale: int) -
             sums[present] += np.add.reduceat(vectors[order], starts, axis=0).astype(object)
             counts += np.bincount(number, minlength=len(counts))
         full = np.flatnonzero(counts)
-        flat = [int(x) for x in sums[full].ravel()]
-        mask = (1 << _LIMB) - 1
+        # counts, then sums by limbs, so that Spark's sums of them are exact whatever their size
+        rows = [(int(c), 0, _COUNT, int(counts[c])) for c in full]
+        for c in full:
+            for place, total in enumerate(sums[c]):
+                rows += [(int(c), place, limb, part) for limb, part in _limbs(int(total))]
+        columns = zip(*rows) if rows else [()] * 4
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(full, dims).astype(np.int32)),
-                pa.array(np.tile(np.arange(dims, dtype=np.int32), len(full))),
-                pa.array(np.repeat(counts[full], dims)),
-                # three parts of the sum, so that Spark's sums of them are exact
-                pa.array([x & mask for x in flat], pa.int64()),
-                pa.array([x >> _LIMB & mask for x in flat], pa.int64()),
-                pa.array([x >> 2 * _LIMB for x in flat], pa.int64()),
-            ],
-            ["cluster", "place", "n", "low", "middle", "high"],
+            [pa.array(column, kind) for column, kind in zip(columns, kinds)], ["cluster", "place", "limb", "part"]
         )
 
-    parts = kept.select("embedding").mapInArrow(
-        add, "cluster int, place int, n long, low long, middle long, high long"
-    )
-    moved = [list(c) for c in centroids]
-    names = ("n", "low", "middle", "high")
-    for row in parts.groupBy("cluster", "place").agg(*[F.sum(c).alias(c) for c in names]).collect():
-        total = row["low"] + (row["middle"] << _LIMB) + (row["high"] << 2 * _LIMB)
-        moved[row["cluster"]][row["place"]] = total // row["n"]
-    return moved
+    parts = kept.select("embedding").mapInArrow(add, "cluster int, place int, limb int, part long")
+    counts = dict.fromkeys(range(len(centroids)), 0)
+    totals: dict[int, list[int]] = {}
+    for row in parts.groupBy("cluster", "place", "limb").agg(F.sum("part").alias("part")).collect():
+        own = totals.setdefault(row["cluster"], [0] * dims)
+        if row["limb"] == _COUNT:
+            counts[row["cluster"]] = row["part"]
+        else:
+            own[row["place"]] += row["part"] << _LIMB * row["limb"]
+    return [[x // counts[c] for x in totals[c]] if c in totals else old for c, old in enumerate(centroids)]
 
 
 def _assigned(kept: DataFrame, centroids: list[list[int]], dims: int, scale: int) -> DataFrame:
