@@ -34,8 +34,9 @@ def repaired_cells(late: DataFrame, log: DataFrame, state: DataFrame, spec: Tabl
     their entities before them. Each column's late values, logged values and value seen last are put in order of
     time. A late value is logged where it differs from its predecessor; and so, again, is the value seen last
     where a late one now precedes it, so that the log ends in what is true. A logged value that follows a late one needs no
-    row: it is a change in either case. A value that the log has at the same instant is not logged again, which
-    makes late rows that are read twice add nothing.
+    row: it is a change in either case. A value that the log has at the same position (or, without ``sequence``, instant)
+    is not logged again, which makes late rows that are read twice add nothing. What was seen unchanged before a late row came, and
+    not last, is not known any more; reading those rows again puts them right too.
     """
     names = F.array(*[F.lit(name) for name in spec.audit_columns])
     origin = (OP, TIME, USER)
@@ -49,7 +50,7 @@ def repaired_cells(late: DataFrame, log: DataFrame, state: DataFrame, spec: Tabl
             F.lit(kind).alias("kind"),
             F.explode(names).alias("column_name"),
             F.col(values).alias("values"),
-        ).select("*", F.col("values").getItem(F.col("column_name")).alias("column_value")).drop("values")
+        ).select("*", F.col("values")[F.col("column_name")].alias("column_value")).drop("values")
 
     logged = _cells_of(log, spec, late)
     none = F.lit(None).cast("string")
@@ -59,7 +60,7 @@ def repaired_cells(late: DataFrame, log: DataFrame, state: DataFrame, spec: Tabl
     every = logged.unionByName(long(late, "row_values", "seq", _LATE)).unionByName(long(seen, "now", ORDER, _SEEN))
     cell = [*KEYS, "column_name"]
     in_order = W.partitionBy(*cell).orderBy("at", "seq", "kind")
-    at_once = W.partitionBy(*cell, "at", "column_value")
+    at_once = W.partitionBy(*cell, "at", "column_value", *(["seq"] if spec.sequence else []))
     rows = every.select(
         "*",
         F.lag("column_value").over(in_order).alias("before"),

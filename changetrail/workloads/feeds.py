@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..operators.conform import conform
@@ -22,6 +23,14 @@ EVENTS = TableSpec(
 EVENTS_X = TableSpec(
     "prod", "app", "events_x", ("user_id", "event_type"), ("value",), sequence=("event_id",)
 )
+# The same again for a run: an entry that is there twice, one without news, one with too many key columns.
+EVENTS_TWICE = TableSpec("prod", "app", "events_twice", ("user_id",), ("event_type",), sequence=("event_id",))
+EVENTS_QUIET = TableSpec("prod", "app", "events_quiet", ("user_id",), ("value",), sequence=("event_id",))
+EVENTS_BAD = TableSpec(
+    "prod", "app", "events_bad", ("user_id", "event_type", "value", "props"), ("ts",), extra_keys="cut"
+)
+# Nothing tells which of two changes of one instant came first.
+FIRST_TYPES = TableSpec("prod", "app", "first_types", ("user_id",), ("event_type",))
 # Few keys: each holds a fifth of all rows.
 EVENT_TYPES = TableSpec(
     "prod", "ops", "event_types", ("event_type",), ("user_id", "value"), sequence=("event_id",)
@@ -87,6 +96,16 @@ def events_partly_undated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_feed(spark, sf_dir).withColumn("update_ts_dms", time)
 
 
+def events_of_one_instant(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Each user's first, second and third event, all at one and the same time."""
+    first = W.partitionBy("user_id").orderBy("event_id")
+    rows = table(spark, sf_dir, "events").withColumn("place", F.row_number().over(first)).where("place <= 3")
+    rows = rows.select(
+        F.lit("U").alias("Op"), "user_id", "event_type", "place", F.lit("2024-01-01 00:00:00").alias("update_ts_dms")
+    )
+    return [rows.where(F.col("place") == place).drop("place") for place in (1, 2, 3)]
+
+
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.when(F.col("o_orderdate") < ORDERS_CUT, "I").otherwise("U").alias("Op"),

@@ -41,6 +41,11 @@ EVENTS_X = f"""SELECT {_EVENT_FIELDS}, 'prod' AS rds, 'app' AS db, 'events_x' AS
 EVENT_TYPES = f"""SELECT {_EVENT_FIELDS}, 'prod' AS rds, 'ops' AS db, 'event_types' AS tb,
     event_type AS k1, cast(NULL AS VARCHAR) AS k2, cast(NULL AS VARCHAR) AS k3,
     cast(user_id AS VARCHAR) AS user_id, cast(value AS VARCHAR) AS value FROM events"""
+EVENTS_TWICE = f"""SELECT {_EVENT_FIELDS}, 'prod' AS rds, 'app' AS db, 'events_twice' AS tb,
+    cast(user_id AS VARCHAR) AS k1, cast(NULL AS VARCHAR) AS k2, cast(NULL AS VARCHAR) AS k3, event_type FROM events"""
+EVENTS_QUIET = f"""SELECT {_EVENT_FIELDS}, 'prod' AS rds, 'app' AS db, 'events_quiet' AS tb,
+    cast(user_id AS VARCHAR) AS k1, cast(NULL AS VARCHAR) AS k2, cast(NULL AS VARCHAR) AS k3,
+    cast(value AS VARCHAR) AS value FROM events"""
 ORDERS = f"""SELECT
     CASE WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'I' ELSE 'U' END AS "Op",
     o_orderdate AS moment, cast(o_orderdate AS VARCHAR) AS updated_at,
@@ -60,6 +65,8 @@ _AUDITED = {
     EVENTS: ("event_type", "value", "props"),
     EVENTS_WITH_GAPS: ("event_type", "value", "props"),
     EVENTS_X: ("value",),
+    EVENTS_TWICE: ("event_type",),
+    EVENTS_QUIET: ("value",),
     EVENT_TYPES: ("user_id", "value"),
     ORDERS: ("o_orderstatus", "o_totalprice", "o_orderpriority"),
     LINEITEM: ("l_quantity", "l_discount", "l_returnflag"),
@@ -200,34 +207,89 @@ def _run_counts() -> str:
     """Initial: history. Incremental: the news. Last: one table purged, others read again.
 
     The third run reads the news once more and adds nothing; rows older than the entity's
-    last change are counted as behind.
+    last version are counted as behind. The entry that is there twice loads the news in the first run already, the
+    quiet one finds none, and the invalid one fails each time.
     """
     parts = []
-    for versions in _THREE:
+
+    def row(run: int, versions: str, action: str, status: str, rows: str, changes: str, behind: str) -> None:
+        numbers = ["cast(coalesce(({}), 0) AS BIGINT)".format(n) if n else "cast(NULL AS BIGINT)" for n in (rows, changes, behind)]
+        parts.append(
+            f"""SELECT cast({run} AS INTEGER) AS run, rds, db, tb, '{action}' AS action, '{status}' AS status,
+            {numbers[0]} AS feed_rows, {numbers[1]} AS changes, {numbers[2]} AS behind_rows
+            FROM (SELECT DISTINCT rds, db, tb FROM ({versions}))"""
+        )
+
+    for versions in (*_THREE, EVENTS_TWICE, EVENTS_QUIET):
         cells = _cells(versions, _AUDITED[versions], "strict")
-        ident = f"""SELECT DISTINCT rds, db, tb FROM ({versions})"""
-        count = "cast(coalesce(({}), 0) AS BIGINT)"
         feed = f"SELECT count(*) FROM ({versions}) WHERE "
         logged = f"SELECT count(*) FROM {cells} WHERE "
-        last_logged = f"""SELECT k1, k2, max((moment, seq)) AS until FROM {cells} GROUP BY k1, k2"""
-        behind = f"""SELECT count(*) FROM ({versions}) v JOIN ({last_logged}) l
+        last_seen = f"SELECT k1, k2, max((moment, seq)) AS until FROM ({versions}) GROUP BY k1, k2"
+        behind = f"""SELECT count(*) FROM ({versions}) v JOIN ({last_seen}) l
             ON v.k1 = l.k1 AND v.k2 IS NOT DISTINCT FROM l.k2
             WHERE v.{_AFTER_CUT} AND (v.moment, v.seq) < l.until"""
-        for run, action, rows, changes, late in (
-            (1, "initial", feed + "NOT " + _AFTER_CUT, logged + "NOT " + _AFTER_CUT, "SELECT 0"),
-            (2, "incremental", feed + _AFTER_CUT, logged + _AFTER_CUT, "SELECT 0"),
-            (3, "incremental", feed + _AFTER_CUT, "SELECT 0", behind),
-        ):
-            numbers = [count.format(rows), count.format(changes), count.format(late)]
-            if run == 3 and versions is EVENTS:
-                action, numbers = "purge", ["cast(NULL AS BIGINT)"] * 3
-            parts.append(
-                f"""SELECT cast({run} AS INTEGER) AS run, rds, db, tb, '{action}' AS action, 'done' AS status,
-                {numbers[0]} AS feed_rows, {numbers[1]} AS changes, {numbers[2]} AS behind_rows FROM ({ident})"""
-            )
+        first = (feed + "NOT " + _AFTER_CUT, logged + "NOT " + _AFTER_CUT, "SELECT 0")
+        fresh, again = (feed + _AFTER_CUT, logged + _AFTER_CUT, "SELECT 0"), (feed + _AFTER_CUT, "SELECT 0", behind)
+        row(1, versions, "initial", "done", *first)
+        if versions == EVENTS_QUIET:
+            for run in (2, 3):
+                row(run, versions, "incremental", "empty", *["SELECT 0"] * 3)
+        elif versions == EVENTS_TWICE:
+            for run, counts in ((1, fresh), (2, again), (2, again), (3, again), (3, again)):
+                row(run, versions, "incremental", "done", *counts)
+        else:
+            row(2, versions, "incremental", "done", *fresh)
+            if versions == EVENTS:
+                row(3, versions, "purge", "done", "", "", "")
+            else:
+                row(3, versions, "incremental", "done", *again)
+    for run in (1, 2, 3):
+        bad = "SELECT 'prod' AS rds, 'app' AS db, 'events_bad' AS tb"
+        row(run, bad, "load", "failed", "", "", "")
     return " UNION ALL ".join(parts)
 
 
+# The types of each user's first three events, all at one instant: each is logged when it is first seen.
+_FIRST_TYPES = """SELECT DISTINCT 'U' AS "Op", 'prod' AS rds, 'app' AS db, 'first_types' AS tb,
+    cast(user_id AS VARCHAR) AS k1, cast(NULL AS VARCHAR) AS k2, cast(NULL AS VARCHAR) AS k3,
+    '2024-01-01 00:00:00' AS updated_at, cast(NULL AS VARCHAR) AS updated_by,
+    cast(2024 AS INTEGER) AS yearpart, cast(1 AS INTEGER) AS monthpart, cast(1 AS INTEGER) AS daypart,
+    'event_type' AS column_name, event_type AS column_value
+    FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id) <= 3)"""
+
+_EARLY = f"SELECT * FROM ({EVENTS_WITH_GAPS}) WHERE cast(right(seq, 19) AS BIGINT) % 3 <> 0"
+_LATER = f"SELECT * FROM ({EVENTS_WITH_GAPS}) WHERE cast(right(seq, 19) AS BIGINT) % 3 = 0"
+
+
+def _repaired() -> str:
+    """The log of the early events and of later ones that are newer; and what late ones change.
+
+    Each column's logged values, late values and value seen last, in order of time: late ones that differ from their
+    predecessor are logged, and so is the value seen last where a late one now precedes it.
+    """
+    audited = _AUDITED[EVENTS]
+    seen = f"SELECT * FROM ({_EARLY}) QUALIFY row_number() OVER (PARTITION BY k1 ORDER BY moment DESC, seq DESC) = 1"
+    split = f"SELECT l.*, coalesce((l.moment, l.seq) < (s.moment, s.seq), FALSE) AS late FROM ({_LATER}) l LEFT JOIN ({seen}) s USING (k1)"
+    in_order = f"({_EARLY}) UNION ALL (SELECT * EXCLUDE (late) FROM ({split}) WHERE NOT late)"
+    late = f"SELECT * EXCLUDE (late) FROM ({split}) WHERE late"
+
+    def long(versions: str, kind: int) -> str:
+        return " UNION ALL ".join(
+            f"SELECT * EXCLUDE ({', '.join(audited)}), {kind} AS kind, '{c}' AS column_name, {c} AS column_value FROM ({versions})"
+            for c in audited
+        )
+
+    cells = _cells(_EARLY, audited, "strict")
+    names = """"Op", moment, updated_at, updated_by, seq, rds, db, tb, k1, k2, k3, kind, column_name, column_value"""
+    every = f"""SELECT {names} FROM (SELECT *, 0 AS kind FROM {cells}) UNION ALL SELECT {names} FROM ({long(late, 1)})
+        UNION ALL SELECT {names} FROM ({long(seen, 2)} )"""
+    placed = f"""SELECT *, lag(column_value) OVER (PARTITION BY k1, column_name ORDER BY moment, seq, kind) AS before,
+        min(kind) OVER (PARTITION BY k1, column_name, moment, seq, column_value) AS first_kind FROM ({every})"""
+    added = f"""{_STRICT_LOG} FROM ({placed}) WHERE kind > 0 AND first_kind > 0
+        AND column_value IS DISTINCT FROM before AND k1 IN (SELECT k1 FROM ({late}))"""
+    return f"{_STRICT_LOG} FROM {_cells(in_order, audited, 'strict')} UNION ALL {added}"
+
+
 ORACLE_SQL: dict[str, str] = {
     "feed_full_load": _feed("'I'", "ts < TIMESTAMP '2024-01-16'"),
     "feed_incremental": _feed("'U'", "ts >= TIMESTAMP '2024-01-16'"),
@@ -274,19 +336,21 @@ ORACLE_SQL: dict[str, str] = {
     "latest_values": _latest("strict"),
     "latest_values_reference": _latest("reference"),
     "pivot_log": _pivot(_log(ORDERS, "reference"), _AUDITED[ORDERS]),
-    "baseline_strict": _baseline_strict(_history(EVENTS)),
-    "baseline_reference": _baseline_reference(_history(EVENTS)),
+    "baseline_strict": _baseline_strict(EVENTS),
+    "baseline_reference": _baseline_reference(EVENTS),
     "baseline_of_feed_keys": _baseline_strict(
         _history(ORDERS, "1999-01-01"),
         "WHERE k1 IN (SELECT cast(o_custkey AS VARCHAR) FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01')",
     ),
-    "initial_change_log": _log(EVENTS, where=f"NOT {_AFTER_CUT}"),
+    "initial_change_log": _log(EVENTS),
     "incremental_change_log": _log(EVENTS, where=_AFTER_CUT),
     "incremental_change_log_reference": _incremental_reference(_AFTER_CUT),
     "incremental_change_log_ties": _log(ORDERS, where="moment >= TIMESTAMP '1999-01-01'"),
     "incremental_change_log_hot_keys": _log(EVENT_TYPES, where=_AFTER_CUT),
     "incremental_change_log_replayed": _log(EVENTS, where=_AFTER_CUT),
     "incremental_change_log_replayed_reference": _incremental_reference("TRUE"),
+    "incremental_change_log_no_sequence": _FIRST_TYPES,
+    "load_no_sequence": _FIRST_TYPES,
     "held_rows": f"""WITH newest AS (SELECT k1, max((moment, seq)) AS until
             FROM {_cells(_history(EVENTS), _AUDITED[EVENTS], 'strict')} GROUP BY k1)
         SELECT CASE WHEN event_type = 'error' THEN 'undated' ELSE 'behind' END AS reason,
@@ -298,6 +362,11 @@ ORACLE_SQL: dict[str, str] = {
     "log_scan_table": _WHOLE_LOG,
     "log_tables": f"SELECT DISTINCT rds, db, tb FROM ({_ALL_LOGS})",
     "log_tables_by_db": f"SELECT db, string_agg(DISTINCT tb, ',' ORDER BY tb) AS tables FROM ({_ALL_LOGS}) GROUP BY db",
+    "log_compacted": _WHOLE_LOG,
+    "table_state": f"""SELECT "Op", k1, k2, k3, updated_at, updated_by, seq AS change_order, event_type, value, props
+        FROM ({EVENTS_WITH_GAPS}) QUALIFY row_number() OVER (PARTITION BY k1 ORDER BY moment DESC, seq DESC) = 1""",
+    "load_from_state": _WHOLE_LOG,
+    "late_rows_repaired": _repaired(),
     "purge_table": _log(EVENTS_X),
     "run_report": _run_counts(),
     "run_historical": _WHOLE_LOG,

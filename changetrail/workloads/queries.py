@@ -14,16 +14,19 @@ from ..plans import (
     append_log,
     change_log,
     changed_rows,
+    compact_table,
     held_rows,
     incremental_change_log,
     initial_change_log,
+    load_feed,
     purge_table,
     run,
 )
+from ..plans.table_state import read_state
 from ..sources import (
     control_table,
     historical_tables,
-    log_tables,
+    listed_tables,
     log_tables_by_db,
     read_feed,
     read_log,
@@ -33,18 +36,24 @@ from ..sources import (
     to_purge,
     with_file_kind,
 )
+from ..sources.batches import published
 from ..spec import REFERENCE, STRICT
 from ..streaming import stream_change_log
 from .feeds import (
     EVENT_TYPES,
     EVENTS,
+    EVENTS_BAD,
+    EVENTS_QUIET,
+    EVENTS_TWICE,
     EVENTS_X,
+    FIRST_TYPES,
     LINEITEM,
     LINEITEM_FOUR_KEYS,
     ORDERS,
     ORDERS_CUT,
     events_feed,
     events_log,
+    events_of_one_instant,
     events_partly_undated,
     events_with_deletes,
     events_with_gaps,
@@ -300,12 +309,14 @@ def _state(frame: DataFrame) -> DataFrame:
 
 @query("baseline_strict")
 def baseline_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state(baseline(events_log(spark, sf_dir), EVENTS))
+    log = change_log(conform(events_feed(spark, sf_dir), EVENTS), EVENTS)
+    return _state(baseline(log, EVENTS))
 
 
 @query("baseline_reference")
 def baseline_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _state(baseline(events_log(spark, sf_dir, REFERENCE), EVENTS, REFERENCE))
+    log = change_log(conform(events_feed(spark, sf_dir), EVENTS), EVENTS, REFERENCE)
+    return _state(baseline(log, EVENTS, REFERENCE))
 
 
 @query("baseline_of_feed_keys")
@@ -321,8 +332,7 @@ def baseline_of_feed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("initial_change_log")
 def initial_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = history(events_feed(spark, sf_dir))
-    return initial_change_log(conform(feed, EVENTS), EVENTS)
+    return initial_change_log(conform(events_feed(spark, sf_dir), EVENTS), EVENTS)
 
 
 @query("incremental_change_log")
@@ -367,6 +377,27 @@ def incremental_log_replayed_reference(spark: SparkSession, sf_dir: str) -> Data
     return incremental_change_log(feed, events_log(spark, sf_dir, REFERENCE), EVENTS, REFERENCE)
 
 
+@query("incremental_change_log_no_sequence")
+def incremental_log_no_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of one instant that arrive one after the other, and then once more, without a column to order them."""
+    parts = [conform(f, FIRST_TYPES) for f in events_of_one_instant(spark, sf_dir)]
+    path = storage.scratch_folder(spark, "log")
+    for part in (*parts, *parts):
+        log = read_log(spark, path, FIRST_TYPES)
+        append_log(incremental_change_log(part, log, FIRST_TYPES), path, FIRST_TYPES)
+    return read_log(spark, path).drop("seq")
+
+
+@query("load_no_sequence")
+def load_no_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by loads, which keep what they have seen at the instant in the table's state."""
+    parts = [conform(f, FIRST_TYPES) for f in events_of_one_instant(spark, sf_dir)]
+    path = storage.scratch_folder(spark, "log")
+    for part in (*parts, *parts):
+        load_feed(part, FIRST_TYPES, path)
+    return read_log(spark, path).drop("seq")
+
+
 @query("held_rows")
 def held_back_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Undated rows, and rows older than what the log holds of their entity."""
@@ -396,14 +427,61 @@ def log_scan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("log_tables")
 def log_tables_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = written_log(spark, sf_dir, (EVENTS, EVENTS_X, EVENT_TYPES))
-    return log_tables(read_log(spark, path))
+    return listed_tables(spark, written_log(spark, sf_dir, (EVENTS, EVENTS_X, EVENT_TYPES)))
 
 
 @query("log_tables_by_db")
 def log_tables_listed_by_db(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = written_log(spark, sf_dir, (EVENTS, EVENTS_X, EVENT_TYPES))
-    return log_tables_by_db(read_log(spark, path)).withColumn("tables", F.array_join("tables", ","))
+    tables = listed_tables(spark, written_log(spark, sf_dir, (EVENTS, EVENTS_X, EVENT_TYPES)))
+    return log_tables_by_db(tables).withColumn("tables", F.array_join("tables", ","))
+
+
+@query("log_compacted")
+def compacted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads whose files are rewritten as one batch."""
+    path = storage.scratch_folder(spark, "log")
+    feed = events_feed(spark, sf_dir)
+    for part in (history(feed), news(feed)):
+        load_feed(conform(part, EVENTS), EVENTS, path)
+    compact_table(spark, path, EVENTS)
+    return read_log(spark, path)
+
+
+# The state beside the log
+
+
+@query("table_state")
+def table_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every entity's version seen last, after two loads."""
+    path = storage.scratch_folder(spark, "log")
+    feed = events_with_gaps(spark, sf_dir)
+    for part in (history(feed), news(feed)):
+        load_feed(conform(part, EVENTS), EVENTS, path)
+    known = published(spark, f"{path}/{EVENTS.log_folder}")
+    state = read_state(spark, f"{path}_state/{EVENTS.log_folder}", known)
+    values = [F.col("now").getItem(name).alias(name) for name in EVENTS.audit_columns]
+    return state.select("Op", "k1", "k2", "k3", "updated_at", "updated_by", "change_order", *values)
+
+
+@query("load_from_state")
+def load_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History, news, and all of it once more: compared with the state, the last load adds nothing."""
+    path = storage.scratch_folder(spark, "log")
+    feed = events_feed(spark, sf_dir)
+    for part in (history(feed), news(feed), feed):
+        load_feed(conform(part, EVENTS), EVENTS, path)
+    return read_log(spark, path)
+
+
+@query("late_rows_repaired")
+def late_rows_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the events comes after the others, most of it late; later values are put right in the log."""
+    path = storage.scratch_folder(spark, "log")
+    feed = events_with_gaps(spark, sf_dir)
+    load_feed(conform(feed.where("event_id % 3 != 0"), EVENTS), EVENTS, path)
+    for _ in range(2):  # read again, late rows add nothing
+        load_feed(conform(feed.where("event_id % 3 = 0"), EVENTS), EVENTS, path, late="repair")
+    return read_log(spark, path)
 
 
 @query("purge_table")
@@ -419,11 +497,15 @@ def purged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("run_report")
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Initial run, incremental run, then a run that purges one table."""
+    """Initial run, incremental run, then a run that purges one table.
+
+    Among the entries are one that is invalid, one whose table has no file of the day, and one that is there twice.
+    """
     root, log = storage.scratch_folder(spark, "feed"), storage.scratch_folder(spark, "log")
-    audited = (EVENTS, EVENTS_X, EVENT_TYPES)
+    audited = (EVENTS, EVENTS_X, EVENT_TYPES, EVENTS_TWICE)
     stage_full_and_daily(spark, sf_dir, root, audited)
-    control = _control_of(spark, audited)
+    stage(history(events_feed(spark, sf_dir)).drop("Op"), f"{root}/{EVENTS_QUIET.feed_folder}", "LOAD")
+    control = _control_of(spark, (*audited, EVENTS_TWICE, EVENTS_QUIET, EVENTS_BAD))
     last = control.withColumn("IsDelete", F.col("tb_name") == EVENTS.tb)
     reports = [
         run(spark, entries, root, log, RUN_DATE).withColumn("run", F.lit(number))
@@ -450,6 +532,7 @@ def run_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _control_of(spark: SparkSession, audited: tuple) -> DataFrame:
+    """Control entries of specs; ``EVENTS_BAD`` stands for an entry with more key columns than there may be."""
     path = storage.scratch_folder(spark, "control")
     entries = [
         (s.rds, "mysql", s.db, s.tb, list(s.primary_key), list(s.audit_columns), list(s.sequence))
