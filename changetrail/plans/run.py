@@ -24,7 +24,7 @@ from ..sources.log import load_finished, read_log, table_in_log
 from ..spec import DATE_PARTS, KEYS, LOG_SCHEMA, OP, SOURCE, STRICT, TIME, USER, TableSpec
 from .change_log import change_log, change_log_and_held_rows, without_known
 from .sink import append_log, purge_table, state_root, write_log
-from .table_state import BUCKETS, read_state, state_of_log, touched_buckets, write_state
+from .table_state import buckets_for, outgrown, read_state, state_of_log, touched_buckets, write_state
 
 REPORT_SCHEMA = (
     "rds string, db string, tb string, action string, status string, feed_rows bigint, "
@@ -173,10 +173,16 @@ def _load(
         return {"action": action, **dict.fromkeys(_COUNTS, 0)}
     if since.state:
         buckets, kind = since.buckets, LOAD
-        state = read_state(spark, states, since, touched_buckets(conformed, buckets))
+        state = read_state(spark, states, since)
+        if outgrown(size := estimated_bytes(state), buckets):
+            kind = f"{FULL}{(buckets := buckets_for(size))}"
+        else:
+            state = read_state(spark, states, since, touched_buckets(conformed, buckets))
     else:
-        buckets, kind = BUCKETS, f"{FULL}{BUCKETS}"
-        state = state_of_log(read_log(spark, log_path, spec), spec)
+        log = read_log(spark, log_path, spec)
+        sizes = [size for size in map(estimated_bytes, (conformed, log)) if size < UNKNOWN_BYTES]
+        kind = f"{FULL}{(buckets := buckets_for(sum(sizes)))}"
+        state = state_of_log(log, spec)
     _prepare(conformed, state)
 
     batch, read, written = new_id(), Observation(), Observation()

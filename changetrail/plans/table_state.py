@@ -10,8 +10,19 @@ from ..sources import storage
 from ..sources.batches import Published
 from ..spec import TableSpec
 
-#: Buckets that a table's state is dealt into when it is first written.
-BUCKETS = 64
+#: Bytes of a feed or state for which there is one bucket, and the least and the largest number of buckets.
+BUCKET_BYTES = 64 << 20
+FEWEST, MOST = 4, 4096
+
+
+def buckets_for(size: int) -> int:
+    """Buckets for a state of about this size, by Catalyst's estimate. It stays until the state has become four times
+    too large for it, when all of it is dealt anew."""
+    return max(FEWEST, min(MOST, -(-size // BUCKET_BYTES)))
+
+
+def outgrown(size: int, buckets: int) -> bool:
+    return buckets < MOST and size > 4 * BUCKET_BYTES * buckets
 
 
 def touched_buckets(conformed: DataFrame, buckets: int) -> list[int]:
@@ -50,4 +61,4 @@ def write_state(
     dealt.write.partitionBy(BUCKET).parquet(f"{folder}/batch={batch}")
 
 
-__all__ = ["BUCKETS", "read_state", "state_of_log", "touched_buckets", "write_state"]
+__all__ = ["buckets_for", "outgrown", "read_state", "state_of_log", "touched_buckets", "write_state"]

@@ -103,6 +103,7 @@ def test_versions_seen_at_the_last_instant_precede_nothing(spark, tmp_path):
 
 
 def test_loads_do_not_read_the_log_and_rewrite_touched_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(RUN, "buckets_for", lambda size: 64)
     path = str(tmp_path / "log")
     load_feed(feed(spark, [one("x", 1, key=str(k)) for k in range(200)]), SPEC, path)
     before = published(spark, f"{path}/{SPEC.log_folder}")
@@ -124,6 +125,14 @@ def test_loads_do_not_read_the_log_and_rewrite_touched_buckets(spark, tmp_path,
     last = published(spark, f"{path}/{SPEC.log_folder}").batches[-1]
     newest = {p.name for p in (tmp_path / "log_state").rglob(f"batch={last.id}/bucket=*")}
     assert newest == {f"bucket={b}" for b in touched} < written
+    # a state that has become too large for its buckets is dealt anew, all of it
+    monkeypatch.setattr(RUN, "outgrown", lambda size, buckets: buckets < 90)
+    monkeypatch.setattr(RUN, "buckets_for", lambda size: 90)
+    for day in (3, 4):
+        assert load_feed(feed(spark, [one("z", day, key="5"), one("x", 9, key="8")]), SPEC, path)["changes"] == 4 - day
+    known = published(spark, f"{path}/{SPEC.log_folder}")
+    assert known.buckets == 90 and [b.kind for b in known.batches] == ["full64", "load", "full90", "load"]
+    assert read_state(spark, f"{path}_state/{SPEC.log_folder}", known).count() == 200
 
 
 def test_increments_make_the_whole_log(spark, tmp_path):
