@@ -16,14 +16,15 @@ of false discoveries at ``RATE``; its thresholds come from the counts over all t
 p-values that is rounded up. Normal probabilities are a logistic approximation. Tokens that
 overlap a pattern's match are not reported again.
 
-Everything is DataFrame functions, without a shuffle but that of the counts. Null texts count
-as empty. Offsets are code points, ends are exclusive. Repeated rows are each scanned; extra
-columns are ignored.
+Everything is DataFrame functions, without a shuffle but that of the counts. Time is linear in a text's length, and
+all but linear in its matches: places are running sums, overlaps a binary search among spans in order, and
+spans are cut out of blocks of the text. Null texts count
+as empty. Offsets are code points, ends are exclusive. Repeated rows are each scanned; an empty table
+has no spans; one text is scanned in one task, whatever its length. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-
 from functools import reduce
 from operator import or_
 
@@ -53,24 +54,70 @@ ENCODINGS = (
 )
 _GRID = 200  # steps of a tenth of a power of ten
 _CHUNK = 256
+#: Code points of text that are taken apart at a time where spans are cut out.
+_BLOCK = 4096
 
 
-def _before(lengths: Column) -> Column:
-    """Sums of what stands before each entry, in time that stays small for very long arrays."""
-    total = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
-    last = F.size(lengths) - 1
-    chunks = F.transform(
-        F.sequence(F.lit(0), F.floor(last / _CHUNK).cast("int")),
-        lambda c: total(F.slice(lengths, c * _CHUNK + 1, F.lit(_CHUNK))),
-    )
-    index = F.sequence(F.lit(0), last)
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used: a name for it inside a one-element array.
+
+    What a lambda takes from a column instead may be put in its place by the optimizer, and then be computed for
+    each element.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _running(values: Column, start: int, merge) -> Column:
+    """What ``merge`` makes of all entries before each, from ``start`` on, in time that stays small for very long
+    arrays."""
+    total = lambda xs: F.aggregate(xs, F.lit(start).cast("long"), merge)
     chunk = lambda i: F.floor(i / _CHUNK).cast("int")
-    rest = F.transform(
-        index,
-        lambda i: total(F.slice(lengths, chunk(i) * _CHUNK + 1, i - chunk(i) * _CHUNK)),
-    )
-    whole = F.transform(F.sequence(F.lit(1), F.size(chunks)), lambda c: total(F.slice(chunks, F.lit(1), c - 1)))
-    return F.transform(rest, lambda x, i: x + F.get(whole, chunk(i)))
+    index = lambda xs: F.sequence(F.lit(0), F.size(xs) - 1)
+
+    def of(xs: Column) -> Column:
+        chunks = F.transform(
+            F.sequence(F.lit(0), chunk(F.size(xs) - 1)),
+            lambda c: total(F.slice(xs, c * _CHUNK + 1, F.lit(_CHUNK))),
+        )
+        whole = _let(chunks, lambda cs: F.transform(index(cs), lambda c: total(F.slice(cs, F.lit(1), c))))
+        own = lambda i: total(F.slice(xs, chunk(i) * _CHUNK + 1, i - chunk(i) * _CHUNK))
+        return _let(whole, lambda ws: F.transform(index(xs), lambda i: merge(F.get(ws, chunk(i)), own(i))))
+
+    return F.when(F.size(values) > 0, _let(values, of)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _before(lengths: Column) -> Column:
+    """Sums of what stands before each entry."""
+    return _running(lengths, 0, lambda a, x: a + x)
+
+
+def _ends_before(spans: Column) -> Column:
+    """The furthest end of the spans before each; spans are in the order of their starts."""
+    return _running(F.transform(spans, lambda s: s["end"]), 0, lambda a, x: F.greatest(a, x))
+
+
+def _apart(tokens: Column, base: Column) -> Column:
+    """The tokens that overlap none of the base spans, both in the order of their starts.
+
+    A binary search finds how many spans start before a token's end; the furthest end of those tells.
+    """
+    closed = F.concat(base, F.array(F.struct(F.lit(2**62).alias("start"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("end"))))
+    known = F.struct(F.transform(closed, lambda s: s["start"]).alias("starts"), _ends_before(closed).alias("ends"))
+    halves = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
+
+    def free(spans: Column, steps: Column, t: Column) -> Column:
+        count = F.aggregate(
+            steps,
+            F.lit(0),
+            lambda n, step: n
+            + F.when(
+                (n + step <= F.size(spans["starts"])) & (F.get(spans["starts"], n + step - 1) < t["end"]), step
+            ).otherwise(0),
+        )
+        return F.get(spans["ends"], count) <= t["start"]
+
+    bound = F.struct(known.alias("spans"), halves.alias("steps"))
+    return _let(bound, lambda b: F.filter(tokens, lambda t: free(b["spans"], b["steps"], t)))
 
 
 def _matches(frame: DataFrame, name: str, pattern: str, if_any: tuple[str, ...] = ()) -> DataFrame:
@@ -118,24 +165,24 @@ def _normal(z: Column) -> Column:
 
 def _tested(token: Column) -> Column:
     """Of one token: class of encoding and length, step of its p-value, whether it may be random."""
-    choose = lambda k: F.element_at(
-        F.array(*[F.lit(e[k]) for e in ENCODINGS]),
-        F.coalesce(*[F.when(token.rlike(e[1]), F.lit(i + 1)) for i, e in enumerate(ENCODINGS)]),
-    )
-    name, alphabet, uneven = choose(0), choose(2), choose(3)
-    plain = F.when(name == "base64", F.translate(token, "-_", "+/")).otherwise(F.lower(token))
-    n, k = F.char_length(token).cast("double"), F.char_length(alphabet).cast("double")
-    first = F.struct(name.alias("name"), alphabet.alias("alphabet"), uneven.alias("u"), n.alias("n"), k.alias("k"), F.split(plain, "").alias("chars"))
-    # nested transforms over one-element arrays name what is used more than once
-    let = lambda value, body: F.get(F.transform(F.array(value), body), 0)
-    return let(first, lambda a: let(
-        F.struct(a["name"].alias("name"), a["u"].alias("u"), a["n"].alias("n"), a["k"].alias("k"),
-                 F.transform(a["chars"], lambda c: (F.instr(a["alphabet"], c) - 1).cast("double")).alias("x")),
-        lambda b: _battery(b, let),
-    ))
-
-
-def _battery(b: Column, let) -> Column:
+    number = F.coalesce(*[F.when(token.rlike(e[1]), F.lit(i + 1)) for i, e in enumerate(ENCODINGS)])
+    choose = lambda i, k: F.element_at(F.array(*[F.lit(e[k]) for e in ENCODINGS]), i)
+    named = _let(number, lambda i: F.struct(choose(i, 0).alias("name"), choose(i, 2).alias("alphabet"), choose(i, 3).alias("u")))
+
+    def valued(e: Column) -> Column:
+        plain = F.when(e["name"] == "base64", F.translate(token, "-_", "+/")).otherwise(F.lower(token))
+        return F.struct(
+            e["name"].alias("name"),
+            e["u"].alias("u"),
+            F.char_length(token).cast("double").alias("n"),
+            F.char_length(e["alphabet"]).cast("double").alias("k"),
+            F.transform(F.split(plain, ""), lambda c: (F.instr(e["alphabet"], c) - 1).cast("double")).alias("x"),
+        )
+
+    return _let(_let(named, valued), _battery)
+
+
+def _battery(b: Column) -> Column:
     n, k, x = b["n"], b["k"], b["x"]
     add = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, v: a + v)
     # sum of squared counts = sum over distinct values of count squared
@@ -172,7 +219,7 @@ def _battery(b: Column, let) -> Column:
             F.least(F.greatest(step, F.lit(0)), F.lit(_GRID)).alias("step"),
             ((p_chi > LEVEL) & (p_runs > LEVEL) & (p_lag > LEVEL)).alias("random"),
         )
-    return let(sums, judged)
+    return _let(sums, judged)
 
 
 def _tokens(frame: DataFrame) -> DataFrame:
@@ -192,7 +239,9 @@ def thresholds(docs: DataFrame) -> dict[str, int]:
     All tokens of the class are tested, those that the battery rejects have p = 1. The counts are
     at most one row for each of some hundred classes and ``_GRID`` steps.
     """
-    tokens = _tokens(docs.select(F.coalesce("text", F.lit("")).alias("text"))).select(F.explode("tokens.test").alias("t"))
+    # no places are needed here, so the matches become rows before anything is tested
+    found = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(_TOKENS), F.lit(0))
+    tokens = docs.select(F.explode(found).alias("token")).select(_tested(F.col("token")).alias("t"))
     counts = tokens.groupBy(
         F.col("t.class").alias("class"), F.when(F.col("t.random"), F.col("t.step")).otherwise(0).alias("step")
     ).count()
@@ -225,8 +274,8 @@ def _with_spans(docs: DataFrame, limits: dict[str, int]) -> DataFrame:
     if limits:
         limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
         found = F.filter("tokens", lambda t: t["test"]["random"] & (t["test"]["step"] >= F.element_at(limit, t["test"]["class"])))
-        found = F.filter(found, lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))
-        frame = frame.withColumn("all_spans", F.array_sort(F.concat("base", F.transform(found, span("random")))))
+        found = F.transform(_apart(found, F.col("base")), span("random"))
+        frame = frame.withColumn("all_spans", F.array_sort(F.concat("base", found)))
     else:
         frame = frame.withColumn("all_spans", F.col("base"))
     return frame
@@ -256,17 +305,29 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """
     own = docs.select(F.struct("*").alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     frame = _with_spans(own, thresholds(docs)).select("row", "text", "all_spans")
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(F.col("text"), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], gap, F.lit(mark))).otherwise(acc["out"]).alias("out"),
-        )
-    cut = F.aggregate(
-        "all_spans", start, step,
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))),
-    )
+    bound = F.struct(
+        F.col("all_spans").alias("spans"),
+        _ends_before(F.col("all_spans")).alias("before"),
+        F.regexp_extract_all("text", F.lit("(?s).{1,%d}" % _BLOCK), F.lit(0)).alias("blocks"),
+    )
+
+    def cut_out(b: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            """The text from start to end, of the blocks that it touches."""
+            first = F.floor(start / _BLOCK).cast("int")
+            n = F.floor(end / _BLOCK).cast("int") - first + 1
+            near = F.array_join(F.slice(b["blocks"], first + 1, n), "")
+            return F.substring(near, (start - first * _BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+        def piece(s: Column, i: Column) -> Column:
+            done = F.get(b["before"], i)
+            return F.when(s["start"] >= done, F.concat(part(done, s["start"]), F.lit(mark))).otherwise("")
+
+        end = F.aggregate(b["spans"], F.lit(0).cast("long"), lambda a, s: F.greatest(a, s["end"]))
+        pieces = F.array_join(F.transform(b["spans"], piece), "")
+        return F.concat(pieces, part(end, F.char_length("text").cast("long")))
+
+    cut = _let(bound, cut_out)
     frame = frame.withColumn("clean", F.when(F.size("all_spans") > 0, cut))
     columns = []
     for name in docs.columns:
