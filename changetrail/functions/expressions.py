@@ -59,7 +59,8 @@ def date_parts(micros: Column) -> list[Column]:
 def sequence_text(df: DataFrame, names: Sequence[str]) -> Column:
     """Render ordering columns as one text whose text order is the columns' order.
 
-    Integers become a sign digit and 19 digits, counted from the lowest bigint when negative;
+    Integers become a sign digit and 19 digits, counted from the lowest bigint when negative; decimals (of 37 digits at
+    most) are counted from the lowest of their type, in as many digits as it may have;
     dates, timestamps and text are already ordered as text. Parts are joined by the lowest
     character there is.
     """
@@ -72,6 +73,10 @@ def sequence_text(df: DataFrame, names: Sequence[str]) -> Column:
             negative = F.lpad((number - F.lit(_LOWEST_BIGINT)).cast("string"), 20, "0")
             digits = F.lpad(number.cast("string"), 19, "0")
             value = F.when(number >= 0, F.concat(F.lit("1"), digits)).otherwise(negative)
+        elif isinstance(kind, T.DecimalType) and kind.precision < 38:
+            lowest = F.lit(10 ** (kind.precision - kind.scale)).cast(f"decimal({kind.precision + 1},{kind.scale})")
+            counted = (value + lowest).cast(f"decimal({kind.precision + 1},{kind.scale})")
+            value = F.lpad(counted.cast("string"), kind.precision + 2, "0")
         elif isinstance(kind, (T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)):
             value = value.cast("string")
         else:

@@ -9,14 +9,16 @@ from ..spec import TableSpec
 
 CONTROL_SCHEMA = (
     "rds_name string, rds_instance_type string, db_name string, tb_name string, "
-    "primaryKey array<string>, audit_column array<string>, IsDelete boolean, sequence array<string>"
+    "primaryKey array<string>, audit_column array<string>, IsDelete boolean, sequence array<string>, "
+    "extra_keys string"
 )
 
 
 def control_table(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """Read table entries from a JSON array (or from JSON lines), filling optional fields.
 
-    ``sequence``, which orders changes of equal time, is an optional field of our own.
+    ``sequence``, which orders changes of equal time, and ``extra_keys``, which says what becomes of key columns beyond
+    the third, are optional fields of our own.
     """
     raw = spark.read.schema(CONTROL_SCHEMA).option("multiLine", multi_line).json(path)
     none = F.array().cast("array<string>")
@@ -26,6 +28,7 @@ def control_table(spark: SparkSession, path: str, multi_line: bool = True) -> Da
             "audit_column": F.coalesce("audit_column", none),
             "IsDelete": F.coalesce("IsDelete", F.lit(False)),
             "sequence": F.coalesce("sequence", none),
+            "extra_keys": F.coalesce("extra_keys", F.lit("reject")),
         }
     )
 
@@ -57,6 +60,7 @@ def spec_of(row: Row) -> TableSpec:
         audit_columns=row["audit_column"],
         is_delete=row["IsDelete"],
         sequence=row["sequence"],
+        extra_keys=row["extra_keys"] if "extra_keys" in row else "reject",
     )
 
 

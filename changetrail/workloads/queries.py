@@ -161,7 +161,7 @@ def _listed(control: DataFrame) -> DataFrame:
             "primaryKey": F.array_join("primaryKey", ","),
             "audit_column": F.array_join("audit_column", ","),
         }
-    ).drop("sequence")
+    ).drop("sequence", "extra_keys")
 
 
 @query("control_table")

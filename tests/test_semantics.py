@@ -217,6 +217,16 @@ def test_integer_sequence_is_ordered_as_numbers(spark):
         conform(frame.withColumn("f", F.lit(1.0)), bad)
 
 
+def test_decimal_sequence_is_ordered_as_numbers(spark):
+    spec = TableSpec("srv", "db", "tb", ("id",), ("a",), sequence=("n",))
+    rows = [("-10.50", "p"), ("-9.99", "q"), ("-0.01", "r"), ("0.00", "s"), ("9.5", "t"), ("10", "u"), ("999.99", "v")]
+    frame = spark.createDataFrame([("1", T1, a, n) for n, a in rows], "id string, update_ts_dms string, a string, n string")
+    frame = frame.withColumn("n", F.col("n").cast("decimal(5,2)"))
+    log = change_log(conform(frame, spec), spec, keep_previous=True).collect()
+    found = {r["column_value"]: r["previous_value"] for r in log}
+    assert found == {b: a for a, b in zip([None, *"pqrstu"], "pqrstuv")}
+
+
 def test_pivot_names_absent_columns(spark):
     log = log_of(spark, [("1", T1, "a", "x")])
     row = pivot_log(log, ("a", "never")).first()

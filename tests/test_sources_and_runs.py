@@ -92,6 +92,23 @@ def test_control_table_defaults(spark, tmp_path):
     ]
 
 
+def test_control_entries_may_fold_keys(spark, tmp_path):
+    many = {
+        "rds_name": "eu2",
+        "rds_instance_type": "mysql",
+        "db_name": "crm",
+        "tb_name": "visits",
+        "primaryKey": ["shop", "day", "desk", "ticket"],
+        "audit_column": ["clerk", "outcome", "note"],
+        "sequence": ["entry"],
+        "extra_keys": "fold",
+    }
+    gone = {"rds_name": "eu2", "db_name": "crm", "tb_name": "leads", "IsDelete": True}
+    found = {spec.tb: spec for spec, _ in specs(control_table(spark, write_control(tmp_path, [many, gone])))}
+    assert (found["visits"].extra_keys, found["visits"].sequence) == ("fold", ("entry",))
+    assert found["leads"].is_delete and found["leads"].extra_keys == "reject"
+
+
 def test_incremental_read_takes_the_folders_there_are(spark, tmp_path):
     root = str(tmp_path)
     stage(orders(spark, [(1, 1.0, "a")]), f"{root}/shop/invoices/2024/01/29", "20240129")
