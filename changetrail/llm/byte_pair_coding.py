@@ -217,9 +217,11 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     lines = _vocabulary(encoded, path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = _coder(lines.value, "")
+        # no automaton is needed for this, so none is built in the worker
+        token = {i: token for token, i in read_ranks(lines.value).items()}.__getitem__
         for batch in batches:
-            yield batch.assign(decoded=[coder.decode(ids) for ids in batch["ids"]])
+            ids = (np.frombuffer(own or b"", "<u4").tolist() for own in batch["ids"])
+            yield batch.assign(decoded=[b"".join(map(token, own)) for own in ids])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "n_tokens", "ids").mapInPandas(
