@@ -11,8 +11,9 @@ are compared as code points, each in lower case where that is one code point.
 2. Candidates are verified by the exact edit distance of the item to the best stretch there.
 
 Items are compared in groups of ``ITEMS`` that each fit into a task; texts of any length are
-worked through whole. Items that are null or shorter than ``SHORTEST`` characters are no evidence
-and are ignored. Null texts count as empty. Repeated rows are each searched, and so are repeated
+worked through whole. An item of fewer than 32 characters may have as many edits as leave one of its q-grams, if that is
+less; below two q-grams it must be there exactly. One that is shorter than a q-gram says nothing inside a text: it is found
+where it is a whole text, blanks at both ends aside. Null and blank items are ignored. Null texts count as empty. Repeated rows are each searched, and so are repeated
 items; extra columns are ignored.
 """
 
@@ -29,9 +30,8 @@ from pyspark.sql import types as T
 from .common import small_batches
 
 EDITS = 0.1
-SHORTEST = 32
 ITEMS = 20_000
-_Q = 8  # with EDITS and SHORTEST, the lemma's number is at least one
+_Q = 8
 _TABLE_BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _STRETCH = 1 << 18  # characters searched at once
@@ -52,6 +52,12 @@ def _points(text: str) -> np.ndarray:
     return np.where(points < len(_LOWER), _LOWER[np.minimum(points, len(_LOWER) - 1)], points)
 
 
+def _stripped(points: np.ndarray) -> np.ndarray:
+    """Without blanks at both ends."""
+    text = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").strip()
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
 def _grams(points: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each q-gram."""
     n = len(points) - _Q + 1
@@ -72,11 +78,16 @@ class Index:
 
     def __init__(self, items: list[tuple[object, str]]):
         pairs = [(i, _points(t)) for i, t in items]
-        pairs = [(i, p) for i, p in pairs if len(p) >= SHORTEST]
+        self.whole: dict[bytes, list] = {}
+        for i, p in pairs:
+            if 0 < len(own := _stripped(p)) < _Q:
+                self.whole.setdefault(own.tobytes(), []).append(i)
+        pairs = [(i, p) for i, p in pairs if len(_stripped(p)) >= _Q]
         self.ids, self.items = [i for i, _ in pairs], [p for _, p in pairs]
         sizes = np.array([len(p) for p in self.items], "i8")
         self.longest = int(sizes.max(initial=0))
-        self.most = np.array([int(n * EDITS) for n in sizes.tolist()], "i8")
+        # at least one q-gram must be left
+        self.most = np.array([min(int(n * EDITS), n // _Q - 1) for n in sizes.tolist()], "i8")
         self.least = sizes - _Q + 1 - _Q * self.most
         # places (item, offset) of every q-gram, ordered by it
         grams = [_grams(p) for p in self.items]
@@ -94,7 +105,14 @@ class Index:
         for own, text in zip(found, texts):
             for base, points in self._parts(text):
                 self._verify(points, base, self._candidates(points), own)
-        return [[(self.ids[k], a, b, e) for k, a, b, e in sorted(own)] for own in found]
+        rows = [[(self.ids[k], a, b, e) for k, a, b, e in sorted(own)] for own in found]
+        for own, text in zip(rows, texts) if self.whole else ():
+            if text and len(text.strip()) < _Q:
+                points = _points(text)
+                start = len(points) - len(_points(text.lstrip()))
+                size = len(_stripped(points))
+                own += [(i, start, start + size, 0) for i in self.whole.get(_stripped(points).tobytes(), ())]
+        return rows
 
     def _parts(self, text: str | None) -> Iterator[tuple[int, np.ndarray]]:
         """Parts of a text that overlap by more than an item, with the place of each."""
