@@ -34,3 +34,10 @@ def saved(frame: DataFrame, label: str) -> DataFrame:
     path = storage.scratch_folder(spark, label)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def discard(frame: DataFrame) -> None:
+    """Delete the folder of a frame that ``saved`` returned, once nothing will read it again."""
+    files = frame.inputFiles()
+    if files:
+        storage.delete(frame.sparkSession, files[0].rsplit("/", 1)[0])

@@ -7,7 +7,7 @@ Two texts are linked when their sets of distinct five-word shingles have a Jacca
    are never paired with each other.
 2. Prefix filter: in any global order of shingles, linked sets of size n and m share one of their
    first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 shingles. The first order puts shingles that
-   many nodes hold in their prefix last (found by counting, repeated while it changes much), the
+   many texts hold last (found by counting prefixes, then all of the texts that have such), the
    others by hash. Only prefixes are counted, and only shingles of two different nodes are kept.
 3. Nodes that share a prefix shingle are first paired with one pivot only, the node with the fewest
    rare shingles; so a group of m near copies gives m pairs, not m squared. Pairs must fit in
@@ -35,20 +35,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_batches
+from .common import discard, saved, small_batches
 
 WORDS = 5
 #: A shingle in more prefixes than this is put behind the others.
 OFTEN = 64
 #: Such shingles that are sent to every task, at most (the most frequent ones; 8 bytes each).
 MOST_FREQUENT = 1 << 18
-#: Rows or shingles up to which a list is sent to every task; longer ones are joined by a shuffle.
+#: Rows up to which a list of ids is sent to every task; longer ones are joined by a shuffle.
 SENT = 1 << 21
 ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 # A-Z count as lower case; words are cut at the bytes \x20 and \x09-\x0D
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _CUTS = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_NONE = np.zeros(0, "u8")
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -122,29 +123,34 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """``doc_id, node, n`` of every row: its set's hash and size."""
+    """``doc_id, node, n, prefix`` of every row: its set's hash and size, and the prefix in order of hashes."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingles(text) for text in batch["text"]]
             yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "node": [node_of(s) for s in sets], "n": [len(s) for s in sets]}
+                {
+                    "doc_id": batch["doc_id"],
+                    "node": [node_of(s) for s in sets],
+                    "n": [len(s) for s in sets],
+                    "prefix": [_prefix(s, _NONE)[0].view("i8") if len(s) else s.view("i8") for s in sets],
+                }
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _texts(docs).mapInPandas(run, f"doc_id {kind}, node long, n long")
+    return _texts(docs).mapInPandas(run, f"doc_id {kind}, node long, n long, prefix array<long>")
 
 
-def _postings(docs: DataFrame, often: np.ndarray, only: np.ndarray | None = None) -> DataFrame:
-    """``token, node, n, most, rare``: a row for each prefix shingle, of ``only`` those, if given.
+def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
+    """``token, node, n, most, rare``: a row for each prefix shingle.
 
     ``most`` is the largest set that can be linked with this one if this is the first shingle that
     both hold.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((often, only))
+    shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        often, only = shared.value
+        often = shared.value
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
             for text in batch["text"]:
@@ -154,11 +160,6 @@ def _postings(docs: DataFrame, often: np.ndarray, only: np.ndarray | None = None
                     continue
                 prefix, rare = _prefix(hashes, often)
                 places = np.arange(len(prefix))
-                if only is not None:
-                    if not len(only):
-                        continue
-                    kept = only[np.minimum(np.searchsorted(only, prefix), len(only) - 1)] == prefix
-                    prefix, places = prefix[kept], places[kept]
                 values = (prefix.view("i8"), node_of(hashes), n, (n - places) * 9 // 4 - n, rare)
                 for column, value in zip(columns, values):
                     column.append(np.broadcast_to(value, len(prefix)))
@@ -170,29 +171,50 @@ def _postings(docs: DataFrame, often: np.ndarray, only: np.ndarray | None = None
 
 
 def _array(frame: DataFrame, column: str) -> np.ndarray:
-    return np.sort(frame.select(column).toPandas()[column].to_numpy().astype("i8").view("u8"))
+    # as Arrow: rows of Python's objects would be some twenty times as large on the driver
+    return np.sort(frame.select(column).toArrow().column(column).to_numpy().astype("i8").view("u8"))
 
 
-def _shared(docs: DataFrame, n_rows: int) -> tuple[DataFrame, np.ndarray]:
+def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
+    """``token, count``: all shingles, not only the prefixes, of the rows whose prefix holds a frequent one."""
+    shared = docs.sparkSession.sparkContext.broadcast(often)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often = shared.value
+        for batch in batches:
+            found = []
+            for text in batch["text"]:
+                hashes = shingles(text)
+                prefix = hashes[: len(hashes) - (4 * len(hashes) + 4) // 5 + 1]
+                if len(prefix) and len(often):
+                    place = np.minimum(np.searchsorted(often, prefix), len(often) - 1)
+                    if (often[place] == prefix).any():
+                        found.append(hashes)
+            if found:
+                token, count = np.unique(np.concatenate(found), return_counts=True)
+                yield pd.DataFrame({"token": token.view("i8"), "count": count})
+
+    counted = _texts(docs).mapInPandas(run, "token long, count long")
+    return counted.groupBy("token").agg(F.sum("count").alias("count"))
+
+
+def _shared(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """Shingles that stand in two prefixes or more, saved, and the frequent ones, put last.
 
-    Putting shingles last brings others into the prefixes, so it is repeated while it at least
-    halves the rows of newly found frequent ones. (It does not in large groups of near copies, all
-    of whose shingles are frequent; these the pivots deal with.)
+    Putting shingles last brings others of the same texts into the prefixes. So where a prefix holds a frequent
+    shingle, all of the text's shingles are counted: what is frequent among them is put last at once. Then
+    a text's own shingles come first, and a place far back in both texts tells that they have too little in common.
     """
-    often = np.zeros(0, "u8")
-    last = None
-    while True:
-        counts = _postings(docs, often).groupBy("token").count().filter("count > 1")
-        counts = saved(counts, "shingle-counts")
-        known = docs.sparkSession.createDataFrame(pd.DataFrame({"token": often.view("i8")}), "token long")
-        new = counts.filter(F.col("count") > OFTEN).join(known, "token", "left_anti")
-        size = new.agg(F.sum("count")).first()[0] or 0
-        room = MOST_FREQUENT - len(often)
-        if size <= n_rows // 20 + OFTEN or room <= 0 or last is not None and size > last // 2:
-            return counts.select("token"), often
-        last = size
-        often = np.union1d(often, _array(new.orderBy(F.desc("count"), "token").limit(room), "token"))
+    first = members.select(F.explode("prefix").alias("token")).groupBy("token").count().filter(F.col("count") > OFTEN)
+    often = _most_frequent(first)
+    if len(often):
+        often = np.union1d(often, _most_frequent(_counts_of_touched(docs, often).filter(F.col("count") > OFTEN)))
+    counts = _postings(docs, often).groupBy("token").count().filter("count > 1")
+    return saved(counts.select("token"), "shingle-counts"), often
+
+
+def _most_frequent(counts: DataFrame) -> np.ndarray:
+    return _array(counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT // 2), "token")
 
 
 def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -280,14 +302,12 @@ def groups(links: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
-    members = saved(nodes(docs), "nodes")
-    n_rows = members.count()
-    shared, often = _shared(docs, n_rows)
-    if shared.count() <= SENT:
-        found = _postings(docs, often, _array(shared, "token"))
-    else:
-        found = _postings(docs, often).join(shared, "token", "left_semi")
-    found = saved(found, "shared-postings")
+    cut = saved(nodes(docs), "prefixes")
+    members = saved(cut.drop("prefix"), "nodes")
+    shared, often = _shared(docs, cut)
+    discard(cut)
+    found = saved(_postings(docs, often).join(shared, "token", "left_semi").distinct(), "shared-postings")
+    discard(shared)
     lists = found.groupBy("token").agg(
         F.min("node").alias("low"),
         F.max("node").alias("high"),
@@ -295,6 +315,7 @@ def components(docs: DataFrame) -> DataFrame:
     )
     own = found.join(lists.filter("low != high").select("token", "pivot"), "token")
     own = saved(own, "shared-shingles")
+    discard(found)
 
     fits = lambda n, most, m, most_m: (n <= most_m) & (m <= most) & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
     p = F.col("pivot")
@@ -311,7 +332,8 @@ def components(docs: DataFrame) -> DataFrame:
     )
     open_lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_lists = open_lists.filter("low != high").select("token")
-    rest = saved(labelled.join(open_lists, "token", "left_semi").distinct(), "open-lists")
+    rest = saved(labelled.join(open_lists, "token", "left_semi"), "open-lists")
+    discard(own)
     x, y = rest.alias("x"), rest.alias("y")
     crossing = (
         x.join(
