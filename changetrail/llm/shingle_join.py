@@ -25,13 +25,13 @@ group's id is the smallest doc_id in it, nulls aside. Extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -229,11 +229,12 @@ def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> Data
         ids = F.broadcast(ids)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             yield pd.DataFrame(
                 {
                     "node": [node_of(shingles(text)) for text in batch["text"]],
-                    "packed": [zlib.compress(_encoded(text), 6) for text in batch["text"]],
+                    "packed": [pack(_encoded(text)) for text in batch["text"]],
                 }
             )
 
@@ -263,7 +264,8 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFram
     right = texts.select(F.col("node").alias("b"), F.col("packed").alias("packed_b"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        set_of = lru_cache(256)(lambda packed: _shingles(zlib.decompress(packed)))
+        unpack = zstandard.ZstdDecompressor().decompress
+        set_of = lru_cache(256)(lambda packed: _shingles(unpack(packed)))
         for batch in batches:
             linked = [_linked(set_of(x), set_of(y)) for x, y in zip(batch["packed_a"], batch["packed_b"])]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
@@ -306,7 +308,7 @@ def components(docs: DataFrame) -> DataFrame:
     members = saved(cut.drop("prefix"), "nodes")
     shared, often = _shared(docs, cut)
     discard(cut)
-    found = saved(_postings(docs, often).join(shared, "token", "left_semi").distinct(), "shared-postings")
+    found = saved(_postings(docs, often).join(shared, "token", "left_semi"), "shared-postings")
     discard(shared)
     lists = found.groupBy("token").agg(
         F.min("node").alias("low"),
@@ -332,7 +334,7 @@ def components(docs: DataFrame) -> DataFrame:
     )
     open_lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_lists = open_lists.filter("low != high").select("token")
-    rest = saved(labelled.join(open_lists, "token", "left_semi"), "open-lists")
+    rest = saved(labelled.join(open_lists, "token", "left_semi").distinct(), "open-lists")
     discard(own)
     x, y = rest.alias("x"), rest.alias("y")
     crossing = (
