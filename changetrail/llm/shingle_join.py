@@ -50,6 +50,8 @@ ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _CUTS = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _NONE = np.zeros(0, "u8")
+#: Shingles that a task adds up at a time, which bounds its memory.
+_COUNTED = 1 << 18
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -181,8 +183,14 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = shared.value
+        found: list[np.ndarray] = []
+        held = 0
+
+        def counted() -> pd.DataFrame:
+            token, count = np.unique(np.concatenate(found), return_counts=True)
+            return pd.DataFrame({"token": token.view("i8"), "count": count})
+
         for batch in batches:
-            found = []
             for text in batch["text"]:
                 hashes = shingles(text)
                 prefix = hashes[: len(hashes) - (4 * len(hashes) + 4) // 5 + 1]
@@ -190,9 +198,12 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
                     place = np.minimum(np.searchsorted(often, prefix), len(often) - 1)
                     if (often[place] == prefix).any():
                         found.append(hashes)
-            if found:
-                token, count = np.unique(np.concatenate(found), return_counts=True)
-                yield pd.DataFrame({"token": token.view("i8"), "count": count})
+                        held += len(hashes)
+                if held >= _COUNTED:
+                    yield counted()
+                    found, held = [], 0
+        if found:
+            yield counted()
 
     counted = _texts(docs).mapInPandas(run, "token long, count long")
     return counted.groupBy("token").agg(F.sum("count").alias("count"))
