@@ -8,7 +8,7 @@ Two texts are linked when their sets of distinct five-word shingles have a Jacca
 2. Prefix filter: in any global order of shingles, linked sets of size n and m share one of their
    first n - ceil(0.8 n) + 1 and m - ceil(0.8 m) + 1 shingles. The first order puts shingles that
    many texts hold last (found by counting prefixes, then all of the texts that have such), the
-   others by hash. Only prefixes are counted, and only shingles of two different nodes are kept.
+   others by hash. Only prefixes are sent, and only shingles of two different nodes are kept.
 3. Nodes that share a prefix shingle are first paired with one pivot only, the node with the fewest
    rare shingles; so a group of m near copies gives m pairs, not m squared. Pairs must fit in
    size and in the place of the shingle.
@@ -52,6 +52,8 @@ _CUTS = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _NONE = np.zeros(0, "u8")
 #: Shingles that a task adds up at a time, which bounds its memory.
 _COUNTED = 1 << 18
+#: Nodes that a task remembers, so as not to send the shingles of copies again.
+_REMEMBERED = 1 << 18
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -64,20 +66,30 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 _VALUES = np.where(_CUTS, np.uint64(0), _mixed(np.frombuffer(_LOWER, "u1").astype("u8") + np.uint64(0x51ED270B)))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    powers = np.full(n, base, "u8")
+    powers[0] = 1
+    return np.multiply.accumulate(powers)
+
+
+_TABLE = 1 << 16
+_UP, _DOWN = (_powers(base, _TABLE) for base in (int(_M2), pow(int(_M2), -1, 1 << 64)))
+
+
 def _words(data: bytes) -> np.ndarray:
     """A hash of each word: the sum of its bytes' numbers, each times a power of its place, mixed."""
-    points = np.frombuffer(data, "u1")
-    inside = ~_CUTS[points]
-    starts = np.flatnonzero(inside & np.concatenate([[True], ~inside[:-1]]))
+    values = _VALUES[np.frombuffer(data, "u1")]
+    inside = values != 0
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    starts = np.flatnonzero(first)
+    n = len(values)
     if not len(starts):
         return np.zeros(0, "u8")
-    points = points[starts[0] :]
-    starts = starts - starts[0]
-    lengths = np.diff(np.append(starts, len(points)))
-    places = np.arange(len(points)) - np.repeat(starts, lengths)
-    powers = np.full(int(lengths.max()), _M2, "u8")
-    powers = np.multiply.accumulate(powers)
-    return _mixed(np.add.reduceat(_VALUES[points] * powers[places], starts))
+    up, down = (_UP, _DOWN) if n <= _TABLE else (_powers(int(b[1]), n) for b in (_UP, _DOWN))
+    # powers of the place in the text, then taken back to those of the place in the word
+    values *= up[:n]
+    return _mixed(np.add.reduceat(values, starts) * down[starts])
 
 
 def _encoded(text: str | None) -> bytes:
@@ -144,7 +156,7 @@ def nodes(docs: DataFrame) -> DataFrame:
 
 
 def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
-    """``token, node, n, most, rare``: a row for each prefix shingle.
+    """``token, node, n, most, rare``: a row for each prefix shingle of a node, or some more if tasks share the node.
 
     ``most`` is the largest set that can be linked with this one if this is the first shingle that
     both hold.
@@ -153,16 +165,21 @@ def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = shared.value
+        done: set[int] = set()
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
             for text in batch["text"]:
                 hashes = shingles(text)
                 n = len(hashes)
-                if not n:
+                node = node_of(hashes)
+                if not n or node in done:
                     continue
+                if len(done) >= _REMEMBERED:
+                    done.clear()
+                done.add(node)
                 prefix, rare = _prefix(hashes, often)
                 places = np.arange(len(prefix))
-                values = (prefix.view("i8"), node_of(hashes), n, (n - places) * 9 // 4 - n, rare)
+                values = (prefix.view("i8"), node, n, (n - places) * 9 // 4 - n, rare)
                 for column, value in zip(columns, values):
                     column.append(np.broadcast_to(value, len(prefix)))
             if columns[0]:
@@ -209,8 +226,8 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
     return counted.groupBy("token").agg(F.sum("count").alias("count"))
 
 
-def _shared(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Shingles that stand in two prefixes or more, saved, and the frequent ones, put last.
+def _frequent(docs: DataFrame, members: DataFrame) -> np.ndarray:
+    """The frequent shingles, put last.
 
     Putting shingles last brings others of the same texts into the prefixes. So where a prefix holds a frequent
     shingle, all of the text's shingles are counted: what is frequent among them is put last at once. Then
@@ -220,8 +237,7 @@ def _shared(docs: DataFrame, members: DataFrame) -> tuple[DataFrame, np.ndarray]
     often = _most_frequent(first)
     if len(often):
         often = np.union1d(often, _most_frequent(_counts_of_touched(docs, often).filter(F.col("count") > OFTEN)))
-    counts = _postings(docs, often).groupBy("token").count().filter("count > 1")
-    return saved(counts.select("token"), "shingle-counts"), often
+    return often
 
 
 def _most_frequent(counts: DataFrame) -> np.ndarray:
@@ -255,17 +271,24 @@ def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> Data
     )
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> bool:
-    n, m = len(a), len(b)
-    for seed in ORDERS:  # the prefixes of further orders must meet too
-        heads = []
-        for s in (a, b):
-            place = np.argsort(_mixed(s * np.uint64(seed)))
-            heads.append(s[place[: len(s) - (4 * len(s) + 4) // 5 + 1]])
-        if not len(np.intersect1d(*heads, assume_unique=True)):
-            return False
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * common >= 80 * (n + m - common)
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    both = np.concatenate([a, b])
+    both.sort()
+    return int(np.count_nonzero(both[1:] == both[:-1]))
+
+
+def _with_heads(hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A set, and its prefixes in the further orders."""
+    size = len(hashes) - (4 * len(hashes) + 4) // 5 + 1
+    # mixing is one to one, so places in an order may stand for the shingles themselves
+    return hashes, *(np.partition(_mixed(hashes * np.uint64(seed)), size - 1)[:size] for seed in ORDERS)
+
+
+def _linked(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> bool:
+    if not all(_common(x, y) for x, y in zip(a[1:], b[1:])):  # the prefixes of further orders must meet too
+        return False
+    common = _common(a[0], b[0])
+    return 100 * common >= 80 * (len(a[0]) + len(b[0]) - common)
 
 
 def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -276,7 +299,7 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFram
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unpack = zstandard.ZstdDecompressor().decompress
-        set_of = lru_cache(256)(lambda packed: _shingles(unpack(packed)))
+        set_of = lru_cache(256)(lambda packed: _with_heads(_shingles(unpack(packed))))
         for batch in batches:
             linked = [_linked(set_of(x), set_of(y)) for x, y in zip(batch["packed_a"], batch["packed_b"])]
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
@@ -317,18 +340,17 @@ def components(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     cut = saved(nodes(docs), "prefixes")
     members = saved(cut.drop("prefix"), "nodes")
-    shared, often = _shared(docs, cut)
+    often = _frequent(docs, cut)
     discard(cut)
-    found = saved(_postings(docs, often).join(shared, "token", "left_semi"), "shared-postings")
-    discard(shared)
+    # dealt by shingle once: the lists are found and joined where the rows lie, a row a list
+    found = _postings(docs, often).repartition("token")
     lists = found.groupBy("token").agg(
         F.min("node").alias("low"),
         F.max("node").alias("high"),
         F.min(F.struct("rare", "node", "n", "most")).alias("pivot"),
     )
-    own = found.join(lists.filter("low != high").select("token", "pivot"), "token")
+    own = found.join(lists.filter("low != high").select("token", "pivot").hint("merge"), "token")
     own = saved(own, "shared-shingles")
-    discard(found)
 
     fits = lambda n, most, m, most_m: (n <= most_m) & (m <= most) & (5 * F.least(n, m) >= 4 * F.greatest(n, m))
     p = F.col("pivot")
@@ -342,7 +364,7 @@ def components(docs: DataFrame) -> DataFrame:
 
     labelled = own.join(first, "node", "left").select(
         "token", "node", "n", "most", F.coalesce("label", "node").alias("label")
-    )
+    ).repartition("token")
     open_lists = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     open_lists = open_lists.filter("low != high").select("token")
     rest = saved(labelled.join(open_lists, "token", "left_semi").distinct(), "open-lists")
