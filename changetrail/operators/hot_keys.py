@@ -4,18 +4,22 @@ Comparing each version of a row with the one before it needs the versions of one
 order. A key with a third of all rows would put a third of the data in one task, so such
 keys are cut into slices of consecutive versions; a header row carries the last version of
 the slice before into each slice (see ``previous.py``). Any cut gives the same result:
-estimates below only steer how even the slices are.
+the sample below only steers how even the slices are.
+
+There may be any number of such keys and slices: their bounds are a table, found and joined
+by Spark, of which the driver sees one number. It is written to the shared folder that
+``spark.checkpoint.dir`` names, since a sample drawn again could cut elsewhere.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from ..sources import storage
 
 
 @dataclass(frozen=True)
@@ -23,34 +27,33 @@ class HotKeys:
     """When and how finely to slice.
 
     Inputs that Catalyst estimates below ``check_above_bytes`` are not examined: no key in
-    them can be too large for a task. ``max_keys`` and ``max_slices`` bound what reaches the
-    driver and what is broadcast, not what is processed: beyond them slices get longer.
+    them can be too large for a task. A slice holds about ``rows_per_slice`` rows, the more evenly
+    the larger ``samples_per_slice`` is.
     """
 
     rows_per_slice: int = 5_000_000
     check_above_bytes: int = 256 << 20
-    max_keys: int = 10_000
-    max_slices: int = 20_000
     samples_per_slice: int = 20
 
 
 @dataclass(frozen=True)
 class Slices:
-    """Slice bounds of the hot keys, held as a small local table, keyed by key hash."""
+    """Slice bounds of the hot keys: a written table, one row a key hash, of any length."""
 
     table: DataFrame
-    hashes: tuple[int, ...]
     most_bounds: int
 
-    def assign(self, rows: DataFrame, key_hash: Column, position: Column) -> DataFrame:
+    def assign(self, rows: DataFrame, key_hash: Column, position: Column, only_hot: bool = False) -> DataFrame:
         """Add ``slice``: how many bounds of the row's key lie at or before its position.
 
         A binary search over the key's sorted bounds, one column per halving, so that it is
-        compiled code and costs some ten comparisons per row.
+        compiled code and costs some ten comparisons per row. Whether the bounds are sent to every
+        task is left to Spark, which knows the written table's size; a shuffled join would have
+        its skewed keys split by adaptive execution.
         """
         found = (
             rows.withColumns({"key_hash": key_hash, "position": position})
-            .join(F.broadcast(self.table), "key_hash", "left")
+            .join(self.table, "key_hash", "inner" if only_hot else "left")
             .withColumn("slice", F.lit(0))
         )
         for power in range(self.most_bounds.bit_length() - 1, -1, -1):
@@ -59,9 +62,6 @@ class Slices:
             found = found.withColumn("slice", F.col("slice") + F.when(reached, step).otherwise(0))
         return found.drop("key_hash", "position", "bounds")
 
-    def only_hot(self, rows: DataFrame, key_hash: Column) -> DataFrame:
-        return rows.where(key_hash.isin(list(self.hashes)))
-
 
 # Estimates from here on mean that Catalyst knows nothing of the size.
 UNKNOWN_BYTES = 1 << 60
@@ -72,61 +72,29 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: HotKeys) -> Slices | None:
-    """Return slice bounds for keys above ``rows_per_slice``, or None when there are none."""
-    if estimated_bytes(rows) <= policy.check_above_bytes:
-        return None
+def slice_bounds(rows: DataFrame, key_hash: Column, position: Column, policy: HotKeys) -> DataFrame:
+    """``key_hash, bounds`` of every key above ``rows_per_slice``: distinct sorted positions.
 
-    # A sample holds about samples_per_slice rows of a key that fills one slice. It is counted
-    # by hash in parallel, and only the largest counts reach the driver.
+    Of each slice, the sample holds about ``samples_per_slice`` rows, so every so many of a key's sampled
+    positions in order is a bound, and smaller keys have none. The sample is one shuffle of a few
+    millionths of the rows; one key's part of it is ordered by a window that spills.
+    """
     rate = min(1.0, policy.samples_per_slice / policy.rows_per_slice)
-    largest = (
-        rows.sample(rate, seed=17)
-        .groupBy(key_hash.alias("key_hash"))
-        .count()
-        .where(F.col("count") > policy.rows_per_slice * rate)
-        .orderBy(F.col("count").desc())
-        .limit(policy.max_keys)
-        .collect()
-    )
-    counts = {row["key_hash"]: row["count"] / rate for row in largest}
-    if not counts:
-        return None
+    step = max(1, round(policy.rows_per_slice * rate))
+    sample = rows.sample(rate, seed=17).select(key_hash.alias("key_hash"), position.alias("position"))
+    before = F.row_number().over(W.partitionBy("key_hash").orderBy("position")) - 1
+    cuts = sample.withColumn("before", before).where((F.col("before") > 0) & (F.col("before") % step == 0))
+    return cuts.groupBy("key_hash").agg(F.sort_array(F.collect_set("position")).alias("bounds"))
+
 
-    wanted = {h: math.ceil(n / policy.rows_per_slice) for h, n in counts.items()}
-    shrink = min(1.0, policy.max_slices / sum(wanted.values()))
-    slices = {h: max(1, int(n * shrink)) for h, n in wanted.items()}
-    rates = {h: min(1.0, policy.samples_per_slice * slices[h] / counts[h]) for h in counts}
-
-    # A second sample, of about samples_per_slice * max_slices positions at most, places the
-    # bounds. Samples only choose where to cut; every row is still processed.
-    keyed = rows.select(key_hash.alias("key_hash"), position.alias("position"))
-    sampled = (
-        keyed.where(F.col("key_hash").isin(list(counts)))
-        .sampleBy("key_hash", rates, seed=17)
-        .groupBy("key_hash")
-        .agg(F.sort_array(F.collect_list("position")).alias("positions"))
-        .collect()
-    )
-    cuts = [(row["key_hash"], _cut(row["positions"], slices[row["key_hash"]])) for row in sampled]
-    table = [(key, bounds) for key, bounds in cuts if bounds]
-    if not table:
+def find_slices(rows: DataFrame, key_hash: Column, position: Column, policy: HotKeys) -> Slices | None:
+    """Return slice bounds for keys above ``rows_per_slice``, or None when there are none."""
+    if estimated_bytes(rows) <= policy.check_above_bytes:
         return None
-    schema = T.StructType(
-        [
-            T.StructField("key_hash", T.LongType()),
-            T.StructField("bounds", T.ArrayType(keyed.schema["position"].dataType)),
-        ]
-    )
-    local = rows.sparkSession.createDataFrame(table, schema)
-    return Slices(local, tuple(h for h, _ in table), max(len(bounds) for _, bounds in table))
-
-
-def _cut(ordered: Sequence, pieces: int) -> list:
-    """Distinct values at equal ranks that cut an ordered sample into ``pieces``."""
-    ranks = [len(ordered) * i // pieces for i in range(1, pieces)]
-    bounds: list = []
-    for rank in ranks:
-        if not bounds or bounds[-1] != ordered[rank]:
-            bounds.append(ordered[rank])
-    return bounds
+    spark = rows.sparkSession
+    bounds = slice_bounds(rows, key_hash, position, policy)
+    path = storage.scratch_folder(spark, "hot-keys")
+    bounds.write.parquet(path)
+    table = spark.read.schema(bounds.schema).parquet(path)
+    most = table.agg(F.max(F.size("bounds"))).first()[0]
+    return Slices(table, most) if most else None

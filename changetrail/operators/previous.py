@@ -124,7 +124,7 @@ def _headers(slices: Slices, rows: DataFrame, keys: list[str], key_hash: Column)
     The groups are pre-aggregated where the rows are read, so one row per slice and task is
     shuffled; what the window orders is one row per slice.
     """
-    hot_rows = slices.assign(slices.only_hot(rows, key_hash), key_hash, position())
+    hot_rows = slices.assign(rows, key_hash, position(), only_hot=True)
     last = F.max(F.struct("at", ORDER, "origin", *_CONTENT, *[k for k in KEYS if k not in keys]))
     ends = hot_rows.groupBy(*keys, "slice").agg(last.alias("last"), F.max("logged").alias("logged"))
     by_slice = W.partitionBy(*keys).orderBy("slice")

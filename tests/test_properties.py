@@ -118,8 +118,8 @@ def test_one_key_with_most_rows_is_cut(spark, sf_dir):
     assert sum(hot) == rows.where("k1 = '-1'").count()
     assert {r["slice"] for r in sizes if r["k1"] != "-1"} == {0}
     plain = change_log(conformed, spec, hot=None)
-    for limits in ({}, {"max_slices": 3}, {"max_keys": 1, "samples_per_slice": 2}):
-        bounded = HotKeys(rows_per_slice=50, check_above_bytes=0, **limits)
+    for limits in ({}, {"rows_per_slice": 2000}, {"rows_per_slice": 1}, {"samples_per_slice": 2}):
+        bounded = HotKeys(**{"rows_per_slice": 50, "check_above_bytes": 0, **limits})
         sliced = change_log(conformed, spec, hot=bounded)
         assert plain.exceptAll(sliced).count() == 0 and sliced.exceptAll(plain).count() == 0
 
@@ -129,3 +129,39 @@ def test_small_inputs_are_not_examined(spark, sf_dir):
 
     rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("user_id").alias("k1"), "event_id")
     assert find_slices(rows, F.xxhash64("k1"), F.struct("event_id"), HotKeys(rows_per_slice=1)) is None
+
+
+def test_every_key_above_the_size_is_cut(spark):
+    from pyspark.sql import functions as F
+
+    # 3,000 keys of 40 rows and 3,000 of 5
+    many = spark.range(3000 * 45).select(
+        F.when(F.col("id") < 3000 * 40, F.col("id") % 3000).otherwise(3000 + F.col("id") % 3000).alias("key"),
+        F.struct(F.col("id").alias("at")).alias("position"),
+    )
+    policy = HotKeys(rows_per_slice=10, check_above_bytes=0)
+    slices = find_slices(many, F.xxhash64("key"), F.col("position"), policy)
+    sizes = slices.assign(many, F.xxhash64("key"), F.col("position")).groupBy("key", "slice").count()
+    by_key = {r["large"]: r for r in sizes.groupBy((F.col("key") < 3000).alias("large")).agg(
+        F.count("*").alias("slices"), F.max("count").alias("most"), F.sum("count").alias("rows")
+    ).collect()}
+    assert tuple(by_key[True])[1:] == (3000 * 4, 10, 3000 * 40)
+    assert tuple(by_key[False])[1:] == (3000, 5, 3000 * 5)
+
+
+def test_bounds_of_hot_keys_are_neither_collected_nor_forced_on_tasks(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(100_000).select((F.col("id") % 2).alias("key"), F.struct(F.col("id").alias("at")).alias("position"))
+    policy = HotKeys(rows_per_slice=5000, check_above_bytes=0)
+    slices = find_slices(rows, F.xxhash64("key"), F.col("position"), policy)
+    plan = slices.assign(rows, F.xxhash64("key"), F.col("position"))._jdf.queryExecution()
+    assert "ResolvedHint" not in plan.analyzed().toString() and "LocalRelation" not in plan.optimizedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = slices.assign(rows, F.xxhash64("key"), F.col("position")).groupBy("key", "slice").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sum(r["count"] for r in shuffled) == 100_000
+    assert 16 <= len(shuffled) <= 26 and max(r["count"] for r in shuffled) < 12_000
