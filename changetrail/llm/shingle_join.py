@@ -195,13 +195,17 @@ def _array(frame: DataFrame, column: str) -> np.ndarray:
 
 
 def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
-    """``token, count``: all shingles, not only the prefixes, of the rows whose prefix holds a frequent one."""
+    """``token, count``: all shingles, not only the prefixes, of the nodes whose prefix holds a frequent one.
+
+    A node counts once for each task that meets it, which copies make more than one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = shared.value
         found: list[np.ndarray] = []
         held = 0
+        done: set[int] = set()
 
         def counted() -> pd.DataFrame:
             token, count = np.unique(np.concatenate(found), return_counts=True)
@@ -213,7 +217,10 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
                 prefix = hashes[: len(hashes) - (4 * len(hashes) + 4) // 5 + 1]
                 if len(prefix) and len(often):
                     place = np.minimum(np.searchsorted(often, prefix), len(often) - 1)
-                    if (often[place] == prefix).any():
+                    if (often[place] == prefix).any() and (node := node_of(hashes)) not in done:
+                        if len(done) >= _REMEMBERED:
+                            done.clear()
+                        done.add(node)
                         found.append(hashes)
                         held += len(hashes)
                 if held >= _COUNTED:
