@@ -1,7 +1,7 @@
 """Text quality by an interpolated modified Kneser-Ney model of characters.
 
-The model counts all four-character strings of its trusted texts (those labelled quality 1, or about ``TRUSTED`` of
-them), each text preceded by three start marks. Lower orders count the different characters
+The model counts all four-character strings of its trusted texts (all those labelled quality 1), each text
+preceded by three start marks. Lower orders count the different characters
 before a string. Each order takes one of three discounts off a count (of 1, 2 or more), estimated
 from the counts of counts, and gives what was taken to the order below; under the lowest order
 every character is equally likely.
@@ -47,7 +47,7 @@ from .common import saved, small_batches
 
 #: Strings that are sent to every task at most (16 bytes each).
 SENT = 1 << 20
-#: Trusted texts that the model is fitted on, about, where more are labelled (a bounded sample, by a hash of the id).
+#: Trusted ids up to which they are sent to the tasks; more are joined as Spark sees fit.
 TRUSTED = 1 << 20
 #: Rejected rows up to which their ids are sent to the tasks; beyond, rows are dropped by a shuffled join.
 REJECTED_SENT = 1 << 18
@@ -207,12 +207,9 @@ def _by_fold(values: list[float | None]) -> Column:
 
 
 def _trusted_ids(labels: DataFrame) -> DataFrame:
-    """Ids labelled quality 1: all, or about ``TRUSTED`` of them by a hash where there are more. Small enough to send."""
+    """All ids labelled quality 1, each once; marked to be sent to the tasks where there are few."""
     ids = labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    share = min(1.0, TRUSTED / max(1, ids.count()))
-    if share < 1:
-        ids = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return F.broadcast(ids)
+    return F.broadcast(ids) if ids.count() <= TRUSTED else ids
 
 
 def _least_sent(counts: DataFrame) -> int:

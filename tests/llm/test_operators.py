@@ -173,6 +173,14 @@ def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, non
     assert quality_model.classify(none[0], labels).collect() == []
 
 
+@pytest.mark.parametrize("most", [1, 1 << 20])
+def test_quality_trusts_all_labelled_texts_however_many(spark, monkeypatch, most):
+    monkeypatch.setattr(quality_model, "TRUSTED", most)
+    rows = [(i, 1) for i in range(40)] + [(3, 1), (None, 1), (41, 0), (42, None)]
+    labels = spark.createDataFrame(rows, "doc_id long, quality int")
+    assert sorted(r[0] for r in quality_model._trusted_ids(labels).collect()) == list(range(40))
+
+
 def test_quality_keeps_clean_texts_of_languages_with_few_trusted_ones(spark):
     dice = random.Random(7)
     alphabets = {0: "aeioutrns", 1: "aeıuklmdy", 2: "äöuipqrst", 5: "αειοντσκλ", 60: "etaoinshrdl"}
