@@ -13,6 +13,7 @@ by Spark, of which the driver sees one number. It is written to the shared folde
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -28,11 +29,12 @@ class HotKeys:
 
     Inputs that Catalyst estimates below ``check_above_bytes`` are not examined: no key in
     them can be too large for a task. A slice holds about ``rows_per_slice`` rows, the more evenly
-    the larger ``samples_per_slice`` is.
+    the larger ``samples_per_slice`` is. A row takes some 600 bytes of the task that compares it, sorted
+    and buffered, but may take 25 or fewer of the compressed columns that the estimate goes by.
     """
 
-    rows_per_slice: int = 5_000_000
-    check_above_bytes: int = 256 << 20
+    rows_per_slice: int = 250_000
+    check_above_bytes: int = 16 << 20
     samples_per_slice: int = 20
 
 
@@ -66,12 +68,32 @@ class Slices:
 # Estimates from here on mean that Catalyst knows nothing of the size.
 UNKNOWN_BYTES = 1 << 60
 
+# Compressed columns of which one task gets the rows: in its memory they may be more than twenty times as large.
+BYTES_PER_TASK = 8 << 20
+# Estimates of joins may be far too large; rows are not left out, tasks get more of them.
+MOST_PARTITIONS = 1 << 14
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate, after partition and column pruning."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def partitions_of(estimate: int, bytes_per_task: int) -> int:
+    """Shuffle partitions that rows of this size call for."""
+    return min(MOST_PARTITIONS, math.ceil(estimate / bytes_per_task))
+
+
+def with_enough_partitions(rows: DataFrame, estimate: int, columns: list[str]) -> DataFrame:
+    """Deal the rows by the columns into as many partitions as their size calls for.
+
+    Where the session's number is enough, this is left to the operation that follows and to adaptive execution.
+    """
+    wanted = partitions_of(estimate, BYTES_PER_TASK) if estimate < UNKNOWN_BYTES else 0
+    enough = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(wanted, *columns) if wanted > enough else rows
+
+
 def slice_bounds(rows: DataFrame, key_hash: Column, position: Column, policy: HotKeys) -> DataFrame:
     """``key_hash, bounds`` of every key above ``rows_per_slice``: distinct sorted positions.
 

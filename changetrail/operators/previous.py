@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import column
 from ..spec import FROM_LOG, KEYS, MICROS, OP, ORDER, REFERENCE, TIME, USER, TableSpec, check_semantics
-from .hot_keys import HotKeys, Slices, find_slices
+from .hot_keys import HotKeys, Slices, estimated_bytes, find_slices, with_enough_partitions
 
 # Order of rows at one position: slice header, then the log's state, then feed rows.
 _HEADER, _LOGGED, _FEED = 0, 1, 2
@@ -77,12 +77,13 @@ def compare(
     """Add ``before`` and ``op_before``: values and operation of the entity's preceding version.
 
     ``feed`` and ``baseline`` come from ``versions``. Everything happens in one window over
-    one shuffle. With a baseline in strict semantics, ``logged_until`` is the last position
+    one shuffle, of as many partitions as the feed's size calls for. With a baseline in strict semantics, ``logged_until`` is the last position
     the log holds for the entity. The result also holds baseline rows: see ``is_feed``.
 
     A baseline from the state of a table without ``sequence`` costs one more join, which sets apart the versions that
     were seen before at the same instant (``apart``).
     """
+    size = estimated_bytes(feed)
     apart = baseline is not None and not spec.sequence and semantics != REFERENCE and seen
     if apart:
         feed, baseline = _set_apart(feed, baseline), baseline.withColumn("apart", F.lit(False))
@@ -98,6 +99,7 @@ def compare(
         partition = [*keys, "slice"]
     if apart:
         partition = [*partition, "apart"]
+    rows = with_enough_partitions(rows, size, partition)
 
     # Undated rows (strict only) come last, so that they precede no other version.
     at = F.col("at").asc() if semantics == REFERENCE else F.col("at").asc_nulls_last()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import threading
 import time
 from collections.abc import Callable
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import conform
-from ..operators.hot_keys import UNKNOWN_BYTES, HotKeys, estimated_bytes
+from ..operators.hot_keys import BYTES_PER_TASK, UNKNOWN_BYTES, HotKeys, estimated_bytes, partitions_of
 from ..operators.late import repaired_cells
 from ..sources.control import control_rows, historical_tables, spec_of
 from ..sources.feed import read_feed
@@ -39,8 +38,8 @@ _PARTITIONS = "spark.sql.shuffle.partitions"
 _EXCLUDED = "spark.sql.adaptive.optimizer.excludedRules"
 _DROPS_COUNTERS = "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
 
-# Shuffled text is some three times its compressed columns; one task gets about 256 MB of it.
-_BYTES_PER_PARTITION = (256 << 20) // 3
+# Compressed columns that one task gets; adaptive execution merges what turns out small.
+_BYTES_PER_PARTITION = BYTES_PER_TASK
 
 
 _IN_USE: dict[str, tuple[int, dict]] = {}
@@ -81,7 +80,7 @@ def partitions_for(*frames: DataFrame) -> int:
     """Shuffle partitions that the frames call for by Catalyst's size estimates."""
     sizes = [estimated_bytes(frame) for frame in frames]
     known = sum(size for size in sizes if size < UNKNOWN_BYTES)
-    return math.ceil(known / _BYTES_PER_PARTITION)
+    return partitions_of(known, _BYTES_PER_PARTITION)
 
 
 def _allow_partitions(spark: SparkSession, wanted: int) -> None:

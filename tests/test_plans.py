@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changetrail import (
+    HotKeys,
     append_log,
     baseline,
     change_log,
@@ -20,6 +21,7 @@ from changetrail import (
     scan_table,
 )
 from changetrail.functions import in_date_window
+from changetrail.operators import hot_keys
 from changetrail.workloads.feeds import EVENTS, ORDERS, events_feed, history, news, orders_feed
 
 
@@ -47,6 +49,24 @@ def test_diff_is_one_window_over_one_exchange(spark, sf_dir):
         assert "Python" not in text
 
 
+@pytest.mark.parametrize("semantics", ["strict", "reference"])
+def test_tasks_do_not_grow_with_the_feed(spark, sf_dir, monkeypatch, semantics):
+    feed = conform(orders_feed(spark, sf_dir), ORDERS)
+    expected = sorted(pivot_log(change_log(feed, ORDERS, semantics), ORDERS.audit_columns).collect(), key=str)
+    monkeypatch.setattr(hot_keys, "BYTES_PER_TASK", 2000)
+    pivoted = pivot_log(change_log(feed, ORDERS, semantics), ORDERS.audit_columns)
+    dealt = re.findall(r"hashpartitioning\(k1#\d+, (\d+)\), REPARTITION_BY_NUM", plan(pivoted))
+    assert len(dealt) == 1 and int(dealt[0]) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert count("Exchange", plan(pivoted)) == 1
+    assert sorted(pivoted.collect(), key=str) == expected
+
+
+def test_keys_that_would_fill_a_task_are_cut(spark):
+    rows = spark.range(0, 700_000, 1, 4).select(F.lit("a").alias("k1"), F.struct("id").alias("at"))
+    slices = hot_keys.find_slices(rows, F.xxhash64("k1"), F.col("at"), HotKeys(check_above_bytes=0))
+    assert slices is not None and slices.most_bounds >= 1
+
+
 def test_only_needed_columns_are_read(spark, sf_dir):
     spec_columns = {"event_id", "ts", "user_id", "event_type", "value", "props"}
     text = plan(change_log(conform(events_feed(spark, sf_dir), EVENTS), EVENTS))
