@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 _NEVER = 1 << 62
-#: Remembered pre-tokens and pairs per worker, after which the memory is emptied.
-_REMEMBERED = 1_000_000
+#: Remembered pre-tokens, and pairs, per worker (some 250 bytes each), after which the memory is emptied.
+_REMEMBERED = 1 << 17
 _LONGEST_REMEMBERED = 64
 
 
