@@ -50,8 +50,12 @@ ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _CUTS = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _NONE = np.zeros(0, "u8")
-#: Shingles that a task adds up at a time, which bounds its memory.
-_COUNTED = 1 << 18
+#: Shingles that a task adds up at a time, which bounds its memory (besides one shard of them).
+_COUNTED = 1 << 19
+#: Shards, by their first bits, in which shingles are sent to be counted: a row for each shard and ``_COUNTED`` shingles.
+_SHARD_BITS = 12
+#: Postings that a task hands on at a time.
+_SENT_ROWS = 1 << 18
 #: Nodes that a task remembers, so as not to send the shingles of copies again.
 _REMEMBERED = 1 << 18
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
@@ -166,8 +170,10 @@ def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         often = shared.value
         done: set[int] = set()
+        names = ("token", "node", "n", "most", "rare")
         for batch in batches:
             columns: list[list[np.ndarray]] = [[], [], [], [], []]
+            held = 0
             for text in batch["text"]:
                 hashes = shingles(text)
                 n = len(hashes)
@@ -182,8 +188,11 @@ def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
                 values = (prefix.view("i8"), node, n, (n - places) * 9 // 4 - n, rare)
                 for column, value in zip(columns, values):
                     column.append(np.broadcast_to(value, len(prefix)))
+                held += len(prefix)
+                if held >= _SENT_ROWS:
+                    yield pd.DataFrame({k: np.concatenate(c).astype("i8") for k, c in zip(names, columns)})
+                    columns, held = [[], [], [], [], []], 0
             if columns[0]:
-                names = ("token", "node", "n", "most", "rare")
                 yield pd.DataFrame({k: np.concatenate(c).astype("i8") for k, c in zip(names, columns)})
 
     return _texts(docs).mapInPandas(run, "token long, node long, n long, most long, rare long")
@@ -195,9 +204,10 @@ def _array(frame: DataFrame, column: str) -> np.ndarray:
 
 
 def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
-    """``token, count``: all shingles, not only the prefixes, of the nodes whose prefix holds a frequent one.
+    """``token, count`` above ``OFTEN``: all shingles, not only the prefixes, of the nodes whose prefix holds a frequent one.
 
-    A node counts once for each task that meets it, which copies make more than one.
+    A node counts once for each task that meets it, which copies make more than one. Nearly all of these shingles
+    are rare, so they are not rows of their own: they are sent as arrays, and added up shard by shard.
     """
     shared = docs.sparkSession.sparkContext.broadcast(often)
 
@@ -209,7 +219,17 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
 
         def counted() -> pd.DataFrame:
             token, count = np.unique(np.concatenate(found), return_counts=True)
-            return pd.DataFrame({"token": token.view("i8"), "count": count})
+            shard = token >> np.uint64(64 - _SHARD_BITS)
+            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+            ends = [*starts[1:].tolist(), len(token)]
+            parts = [slice(*x) for x in zip(starts.tolist(), ends)]
+            return pd.DataFrame(
+                {
+                    "shard": shard[starts].astype("i4"),
+                    "tokens": [token[x].tobytes() for x in parts],
+                    "counts": [count[x].astype("<u4").tobytes() for x in parts],
+                }
+            )
 
         for batch in batches:
             for text in batch["text"]:
@@ -229,8 +249,30 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
         if found:
             yield counted()
 
-    counted = _texts(docs).mapInPandas(run, "token long, count long")
-    return counted.groupBy("token").agg(F.sum("count").alias("count"))
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokens: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        held, last = 0, None
+
+        def often_found() -> pd.DataFrame:
+            token, place = np.unique(np.concatenate(tokens), return_inverse=True)
+            count = np.bincount(place, np.concatenate(counts), len(token)).astype("i8")
+            return pd.DataFrame({"token": token.view("i8"), "count": count})[count > OFTEN]
+
+        for batch in batches:
+            for shard, own, number in zip(batch["shard"], batch["tokens"], batch["counts"]):
+                if shard != last and held >= _COUNTED:
+                    yield often_found()
+                    tokens, counts, held = [], [], 0
+                last = shard
+                tokens.append(np.frombuffer(own, "u8"))
+                counts.append(np.frombuffer(number, "<u4"))
+                held += len(tokens[-1])
+        if held:
+            yield often_found()
+
+    sent = _texts(docs).mapInPandas(run, "shard int, tokens binary, counts binary")
+    return sent.repartition("shard").sortWithinPartitions("shard").mapInPandas(added, "token long, count long")
 
 
 def _frequent(docs: DataFrame, members: DataFrame) -> np.ndarray:
@@ -243,7 +285,7 @@ def _frequent(docs: DataFrame, members: DataFrame) -> np.ndarray:
     first = members.select(F.explode("prefix").alias("token")).groupBy("token").count().filter(F.col("count") > OFTEN)
     often = _most_frequent(first)
     if len(often):
-        often = np.union1d(often, _most_frequent(_counts_of_touched(docs, often).filter(F.col("count") > OFTEN)))
+        often = np.union1d(often, _most_frequent(saved(_counts_of_touched(docs, often), "frequent")))
     return often
 
 

@@ -6,7 +6,9 @@ import base64
 import hashlib
 import random
 import re
+from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -173,6 +175,17 @@ def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, non
     assert quality_model.classify(none[0], labels).collect() == []
 
 
+def test_frequent_shingles_are_counted_shard_by_shard(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "OFTEN", 2)
+    monkeypatch.setattr(shingle_join, "_COUNTED", 40)
+    texts = [f"a b c d e f g own{i} x y z{i % 3} common words at the end" for i in range(12)] + [None, "", "one"]
+    own = [shingle_join.shingles(t) for t in texts]
+    number = Counter(x for s in own for x in s.view("i8").tolist())
+    often = np.unique(np.concatenate(own))
+    got = shingle_join._counts_of_touched(documents(spark, texts).coalesce(1), often).collect()
+    assert {r["token"]: r["count"] for r in got} == {t: n for t, n in number.items() if n > 2}
+
+
 @pytest.mark.parametrize("most", [1, 1 << 20])
 def test_quality_trusts_all_labelled_texts_however_many(spark, monkeypatch, most):
     monkeypatch.setattr(quality_model, "TRUSTED", most)
