@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -28,24 +28,38 @@ from pyspark.sql import functions as F
 from .common import small_batches
 
 _NEVER = 1 << 62
-#: Remembered pre-tokens, and pairs, per worker (some 250 bytes each), after which the memory is emptied.
-_REMEMBERED = 1 << 17
+#: Pre-tokens and pairs that are new in a worker's memory at most (some 200 bytes each), and as many older ones.
+_PIECES, _PAIRS = 1 << 18, 1 << 17
 _LONGEST_REMEMBERED = 64
 
 
-class _Pieces(dict):
-    """Pre-token -> its ids as little-endian 32-bit integers."""
+class _Memory(dict):
+    """Results by what they were computed from, those asked for lately.
 
-    def __init__(self, coder: Coder):
+    Once it holds ``most``, these become the older ones, of which only what is asked for again is kept: so frequent
+    ones stay, and there are never more than twice as many.
+    """
+
+    def __init__(self, compute: Callable, most: int):
         super().__init__()
-        self.coder = coder
+        self.compute, self.most, self.older = compute, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class _Pieces(_Memory):
+    """Pre-token -> its ids as little-endian 32-bit integers; very long ones are not remembered."""
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.coder.encode_bytes(piece.encode("utf-8", "surrogatepass"))
-        ids = struct.pack(f"<{len(found)}I", *found)
-        if len(piece) <= _LONGEST_REMEMBERED:
-            self[piece] = ids
-        return ids
+        return super().__missing__(piece) if len(piece) <= _LONGEST_REMEMBERED else self.compute(piece)
 
 
 class Coder:
@@ -60,22 +74,22 @@ class Coder:
         for token, i in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
-        self.pieces = _Pieces(self)
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pieces = _Pieces(self._packed, _PIECES)
+        self.pairs = _Memory(self._stay_apart, _PAIRS)
         self.edges: dict[int, tuple[list, list] | None] = {}
         self.shorter: dict[int, int | None] = {}
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        if len(self.pieces) > _REMEMBERED:
-            self.pieces.clear()
-        if len(self.pairs) > _REMEMBERED:
-            self.pairs.clear()
         return b"".join(map(self.pieces.__getitem__, self.split(text or "")))
 
     def decode(self, ids: bytes | None) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
 
+    def _packed(self, piece: str) -> bytes:
+        found = self.encode_bytes(piece.encode("utf-8", "surrogatepass"))
+        return struct.pack(f"<{len(found)}I", *found)
+
     def encode_bytes(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
@@ -85,16 +99,22 @@ class Coder:
         latin = piece.decode("latin-1")
         from_left = list(self.automaton.iter_long(latin))
         found = [token for _, token in from_left]
-        if all(map(self._neighbours, found, found[1:])):
-            return found  # the longest matches already stand side by side
-        sizes, end_of_piece = self.sizes, len(piece)
+        stay_apart = self.pairs.__getitem__
+        fitting = 1  # of the longest matches, as many as may stand side by side
+        for pair in zip(found, found[1:]):
+            if not stay_apart(pair):
+                break
+            fitting += 1
+        else:
+            return found
+        sizes, shorter, end_of_piece = self.sizes, self.shorter, len(piece)
         longest = {last - sizes[token] + 1: token for last, token in from_left}
-        alive = bytearray(b"\x01") * (end_of_piece + 1)
-        found = []
-        at, token = 0, longest[0]
+        dead = set()
+        at, token = from_left[fitting - 1][0] + 1, found[fitting]
+        del found[fitting:]
         while True:
             end = at + sizes[token]
-            if alive[end] and (not found or self._neighbours(found[-1], token)):
+            if end not in dead and (not found or stay_apart((found[-1], token))):
                 found.append(token)
                 if end == end_of_piece:
                     return found
@@ -103,9 +123,9 @@ class Coder:
                 if token is None:
                     token = longest[at] = next(self.automaton.iter_long(latin, at))[1]
                 continue
-            prefix = self._shorter(token)
+            prefix = shorter[token] if token in shorter else self._shorter(token)
             if prefix is None:
-                alive[at] = 0
+                dead.add(at)
                 token = found.pop()
                 at -= sizes[token]
             else:
@@ -119,21 +139,14 @@ class Coder:
             self.shorter[token] = next((self.ranks[own[:n]] for n in ends if own[:n] in self.ranks), None)
         return self.shorter[token]
 
-    def _neighbours(self, left: int, right: int) -> bool:
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            known = self.pairs[key] = self._stay_apart(left, right)
-        return known
-
-    def _stay_apart(self, left: int, right: int) -> bool:
+    def _stay_apart(self, pair: tuple[int, int]) -> bool:
         """Do the merges of both tokens' bytes side by side end with just these two?
 
         Each entry of an edge is a part that stands at the border from the merge of rank
         ``born`` up to the merge of rank ``gone``. Parts that meet merge across the border if
         that merge comes before what takes either of them; of equal ranks the left one is first.
         """
-        edge_l, edge_r = self._edges(left), self._edges(right)
+        edge_l, edge_r = map(self._edges, pair)
         if edge_l is None or edge_r is None:
             return False
         for part_l, born_l, gone_l in edge_l[1]:

@@ -54,6 +54,18 @@ def test_query_matches_sql(spark, sf_dir, name):
     assert rows_of_spark(QUERIES[name](spark, sf_dir)) == rows_of_duck(duck(sf_dir), ORACLE_SQL[name])
 
 
+def test_bpe_keeps_frequent_pieces_in_a_bounded_memory():
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256, b"abc": 257, b"bc": 258}
+    coder = byte_pair_coding.Coder(ranks, r"\S+|\s+")
+    coder.pieces.most, asked = 50, []
+    work = coder.pieces.compute
+    coder.pieces.compute = lambda piece: asked.append(piece) or work(piece)
+    for i in range(500):
+        assert coder.decode(coder.encode(f"abcab {i}")) == f"abcab {i}".encode()
+    assert asked.count("abcab") == asked.count(" ") == 1
+    assert len(coder.pieces) + len(coder.pieces.older) <= 100
+
+
 def test_bpe_is_that_of_tiktoken(spark, odd):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     with open(path, "rb") as file:
