@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, tidy
 
 _NEVER = 1 << 62
 #: Pre-tokens and pairs that are new in a worker's memory at most (some 200 bytes each), and as many older ones.
@@ -221,7 +221,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, n_tokens long, ids binary"
+        tidy(run), f"doc_id {kind}, n_tokens long, ids binary"
     )
 
 
@@ -238,5 +238,5 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return encoded.select("doc_id", "n_tokens", "ids").mapInPandas(
-        run, f"doc_id {kind}, n_tokens long, ids binary, decoded binary"
+        tidy(run), f"doc_id {kind}, n_tokens long, ids binary, decoded binary"
     )

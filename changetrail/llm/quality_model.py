@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, small_batches
+from .common import saved, small_batches, tidy
 
 #: Strings that are sent to every task at most (16 bytes each).
 SENT = 1 << 20
@@ -122,7 +122,7 @@ def counts_of(docs: DataFrame, folds: int = 1) -> DataFrame:
             yield pd.DataFrame({"fold": fold, "g": own.keys, "c": own.counts})
 
     rows = docs.select(_fold(folds).alias("fold"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = rows.mapInPandas(run, "fold int, g long, c long")
+    counted = rows.mapInPandas(tidy(run), "fold int, g long, c long")
     return counted.groupBy("fold", "g").agg(F.sum("c").alias("c"))
 
 
@@ -278,7 +278,7 @@ def score(docs: DataFrame, labels: DataFrame, folds: int = 1) -> DataFrame:
         _fold(folds).alias("fold"),
     )
     partly = rows.mapInPandas(
-        run,
+        tidy(run),
         f"doc_id {kind}, lang string, tie long, fold int, n long, nats double, rare array<long>, times array<long>",
     )
     partly = saved(partly.withColumn("row", F.struct("doc_id", "tie")), "part-scores")

@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, saved, small_batches
+from .common import discard, saved, small_batches, tidy
 
 WORDS = 5
 #: A shingle in more prefixes than this is put behind the others.
@@ -55,7 +55,7 @@ _COUNTED = 1 << 19
 #: Shards, by their first bits, in which shingles are sent to be counted: a row for each shard and ``_COUNTED`` shingles.
 _SHARD_BITS = 12
 #: Postings that a task hands on at a time.
-_SENT_ROWS = 1 << 18
+_SENT_ROWS = 1 << 16
 #: Nodes that a task remembers, so as not to send the shingles of copies again.
 _REMEMBERED = 1 << 18
 _M1, _M2 = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
@@ -156,7 +156,7 @@ def nodes(docs: DataFrame) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _texts(docs).mapInPandas(run, f"doc_id {kind}, node long, n long, prefix array<long>")
+    return _texts(docs).mapInPandas(tidy(run), f"doc_id {kind}, node long, n long, prefix array<long>")
 
 
 def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
@@ -195,7 +195,7 @@ def _postings(docs: DataFrame, often: np.ndarray) -> DataFrame:
             if columns[0]:
                 yield pd.DataFrame({k: np.concatenate(c).astype("i8") for k, c in zip(names, columns)})
 
-    return _texts(docs).mapInPandas(run, "token long, node long, n long, most long, rare long")
+    return _texts(docs).mapInPandas(tidy(run), "token long, node long, n long, most long, rare long")
 
 
 def _array(frame: DataFrame, column: str) -> np.ndarray:
@@ -271,8 +271,8 @@ def _counts_of_touched(docs: DataFrame, often: np.ndarray) -> DataFrame:
         if held:
             yield often_found()
 
-    sent = _texts(docs).mapInPandas(run, "shard int, tokens binary, counts binary")
-    return sent.repartition("shard").sortWithinPartitions("shard").mapInPandas(added, "token long, count long")
+    sent = _texts(docs).mapInPandas(tidy(run), "shard int, tokens binary, counts binary")
+    return sent.repartition("shard").sortWithinPartitions("shard").mapInPandas(tidy(added), "token long, count long")
 
 
 def _frequent(docs: DataFrame, members: DataFrame) -> np.ndarray:
@@ -315,7 +315,7 @@ def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> Data
             )
 
     texts = docs.withColumn("id", F.struct("doc_id")).join(ids, "id", "left_semi")
-    return _texts(texts).mapInPandas(run, "node long, packed binary").groupBy("node").agg(
+    return _texts(texts).mapInPandas(tidy(run), "node long, packed binary").groupBy("node").agg(
         F.first("packed").alias("packed")
     )
 
@@ -354,7 +354,7 @@ def _verified(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFram
             yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "linked": linked})
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return saved(joined.mapInPandas(run, "a long, b long, linked boolean"), "pairs")
+    return saved(joined.mapInPandas(tidy(run), "a long, b long, linked boolean"), "pairs")
 
 
 def groups(links: DataFrame) -> DataFrame:
