@@ -192,28 +192,31 @@ def _load(
     if since.batches and not since.state and not spec.sequence:
         rows = without_known(rows, conformed, read_log(spark, log_path, spec), spec)
     outcome = F.when(F.col("reason").isNull(), LOGGED).otherwise(HELD)
-    write_log(
-        rows.withColumn("outcome", outcome).drop(*SOURCE),
-        f"{folder}/batch={batch}",
-        ["outcome", "column_name", *DATE_PARTS],
-        written,
-    )
-    counts = {**read.get, **written.get}
-    if counts["behind_rows"] + counts["undated_rows"]:
-        held = spark.read.schema(_BATCH_SCHEMA).parquet(f"{folder}/batch={batch}/outcome={HELD}")
-        values = [F.col("row_values").getItem(name).alias(name) for name in spec.audit_columns]
-        held_path = held_path or f"{log_path}_held"
-        held.select("reason", OP, *KEYS, TIME, USER, *values).write.mode("append").parquet(
-            f"{held_path.rstrip('/')}/{spec.log_folder}"
+    # Neither the state nor the copy of held rows waits for the log's rows: their tasks fill the cores those leave idle.
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        beside = [pool.submit(write_state, state, conformed, spec, states, batch, buckets)]
+        write_log(
+            rows.withColumn("outcome", outcome).drop(*SOURCE),
+            f"{folder}/batch={batch}",
+            ["outcome", "column_name", *DATE_PARTS],
+            written,
         )
-        if late == REPAIR and counts["behind_rows"]:
-            behind = held.where("reason = 'behind'")
-            repaired = repaired_cells(behind, read_log(spark, log_path, spec), state, spec).drop(*SOURCE)
-            added = Observation()
-            target = f"{folder}/batch={batch}/outcome={LOGGED}"
-            write_log(repaired, target, ["column_name", *DATE_PARTS], added)
-            counts["changes"] += added.get["changes"]
-    write_state(state, conformed, spec, states, batch, buckets)
+        counts = {**read.get, **written.get}
+        if counts["behind_rows"] + counts["undated_rows"]:
+            held = spark.read.schema(_BATCH_SCHEMA).parquet(f"{folder}/batch={batch}/outcome={HELD}")
+            values = [F.col("row_values").getItem(name).alias(name) for name in spec.audit_columns]
+            held_path = held_path or f"{log_path}_held"
+            copy = held.select("reason", OP, *KEYS, TIME, USER, *values).write.mode("append")
+            beside.append(pool.submit(copy.parquet, f"{held_path.rstrip('/')}/{spec.log_folder}"))
+            if late == REPAIR and counts["behind_rows"]:
+                behind = held.where("reason = 'behind'")
+                repaired = repaired_cells(behind, read_log(spark, log_path, spec), state, spec).drop(*SOURCE)
+                added = Observation()
+                target = f"{folder}/batch={batch}/outcome={LOGGED}"
+                write_log(repaired, target, ["column_name", *DATE_PARTS], added)
+                counts["changes"] += added.get["changes"]
+        for job in beside:
+            job.result()
     publish(spark, folder, since, batch, kind)
     return {"action": action, **counts}
 

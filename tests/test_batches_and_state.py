@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import threading
 from collections import Counter
 from importlib import import_module
 
@@ -217,6 +218,16 @@ def test_a_load_cut_short_is_not_seen_and_its_repetition_is_whole(spark, tmp_pat
     assert load_feed(batch, SPEC, path)["changes"] == 0
 
 
+def test_state_and_log_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    began, plain_state, plain_log = threading.Event(), RUN.write_state, RUN.write_log
+    waited = []
+    monkeypatch.setattr(RUN, "write_state", lambda *a: began.set() or plain_state(*a))
+    monkeypatch.setattr(RUN, "write_log", lambda *a: waited.append(began.wait(30)) or plain_log(*a))
+    path = str(tmp_path / "log")
+    assert load_feed(feed(spark, [one("x", 1)]), SPEC, path)["changes"] == 1
+    assert waited == [True] and values(read_log(spark, path)) == [(1, "x")]
+
+
 def test_of_two_loads_side_by_side_the_second_fails(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "log")
     load_feed(feed(spark, [one("x", 1)]), SPEC, path)
