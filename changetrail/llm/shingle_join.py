@@ -42,8 +42,9 @@ WORDS = 5
 OFTEN = 64
 #: Such shingles that are sent to every task, at most (the most frequent ones; 8 bytes each).
 MOST_FREQUENT = 1 << 18
-#: Rows up to which a list of ids is sent to every task; longer ones are joined by a shuffle.
-SENT = 1 << 21
+#: Bits of a filter of ids, for each of them; and as a power of two, those of all parts together (32 MB) and of one part.
+BITS_PER_ID = 128
+MOST_BITS, PART_BITS = 28, 15
 ORDERS = (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 # A-Z count as lower case; words are cut at the bytes \x20 and \x09-\x0D
@@ -293,16 +294,31 @@ def _most_frequent(counts: DataFrame) -> np.ndarray:
     return _array(counts.orderBy(F.desc("count"), "token").limit(MOST_FREQUENT // 2), "token")
 
 
+def _marked(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The rows with a column ``name``: true where ``id`` is among the distinct ids, and for a few others.
+
+    The ids set bits at places given by their hash. Only these bits are sent to the tasks, so rows, which hold texts,
+    stay where they are. More ids than the bits are meant for make more of the other rows true.
+    """
+    bits = min(MOST_BITS, max(PART_BITS, (BITS_PER_ID * ids.count()).bit_length()))
+    place = F.xxhash64("id").bitwiseAND((1 << bits) - 1)
+    part = F.shiftright(place, PART_BITS).alias("part")
+    places = ids.select(part, place.bitwiseAND((1 << PART_BITS) - 1).alias("place")).repartition("part")
+    parts = places.groupBy("part").agg(F.bitmap_construct_agg("place").alias("bits"))
+    byte = F.substring("bits", F.shiftright("place", 3) % (1 << PART_BITS - 3) + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("long"), F.col("place") % 8) == 1
+    joined = rows.select("*", part, place.alias("place")).join(F.broadcast(parts), "part", "left")
+    return joined.select(*rows.columns, F.coalesce(is_set, F.lit(False)).alias(name))
+
+
 def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``node, packed`` of the nodes in the pairs, from one document of each.
+    """``node, packed`` of the nodes in the pairs, from one document of each, and of a few others.
 
     A compressed text is about a quarter of the size of its set of 64-bit hashes.
     """
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     one = members.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     ids = saved(one.select(F.struct("doc_id").alias("id")).distinct(), "candidates")
-    if ids.count() <= SENT // 4:
-        ids = F.broadcast(ids)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pack = zstandard.ZstdCompressor(level=3).compress
@@ -314,7 +330,8 @@ def _packed_texts(docs: DataFrame, members: DataFrame, pairs: DataFrame) -> Data
                 }
             )
 
-    texts = docs.withColumn("id", F.struct("doc_id")).join(ids, "id", "left_semi")
+    rows = docs.select(F.struct("doc_id").alias("id"), "doc_id", "text")
+    texts = _marked(rows, ids, "wanted").filter("wanted")
     return _texts(texts).mapInPandas(tidy(run), "node long, packed binary").groupBy("node").agg(
         F.first("packed").alias("packed")
     )
@@ -450,10 +467,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """
     found = components(docs)
     keeps = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = saved(found.filter(keeps).groupBy(F.struct("doc_id").alias("id")).count(), "kept")
+    ids = saved(found.groupBy(F.struct("doc_id").alias("id")).agg(F.count_if(keeps).alias("count")), "kept")
+    kept = ids.filter("count > 0")
     rows = docs.select(F.struct("doc_id").alias("id"), F.struct("*").alias("row"))
-    # only texts whose doc_id repeats are shuffled; rows that share both are the same document
-    alone = rows.join(kept.filter("count = 1"), "id", "left_semi").select("row.*")
-    repeated = rows.join(kept.filter("count > 1"), "id", "left_semi")
-    repeated = repeated.groupBy("id", F.xxhash64("row.text").alias("tie")).agg(F.first("row").alias("row"))
-    return alone.unionByName(repeated.select("row.*"))
+    rows = _marked(_marked(rows, ids.filter("count != 1"), "other"), kept, "kept")
+    alone = rows.filter("not other").select("row.*")
+    # only texts that both filters let through are shuffled; of these, rows that share doc_id and text are the same
+    # document (where one row of a doc_id keeps it, its texts differ)
+    open_rows = rows.filter("other and kept").join(kept, "id", "left_semi")
+    open_rows = open_rows.groupBy("id", F.xxhash64("row.text").alias("tie")).agg(F.first("row").alias("row"))
+    return alone.unionByName(open_rows.select("row.*"))

@@ -15,7 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from changetrail.llm import byte_pair_coding, chat_perspectives, decontamination, language_id
+from changetrail.llm import byte_pair_coding, chat_perspectives, common, decontamination, language_id
 from changetrail.llm import multiset_fingerprint, quality_model, secret_scan, shingle_join, toxicity, url_rules
 from changetrail.llm.queries import ORACLE_SQL, QUERIES, RULES
 from tests.compare import duck, rows_of_duck, rows_of_spark
@@ -135,6 +135,48 @@ def test_near_duplicates_are_those_of_brute_force(spark, odd, none):
     assert shingle_join.components(none[0]).collect() == []
 
 
+def _shuffled_bytes(plan):
+    own = plan.metrics().apply("dataSize").value() if plan.nodeName() == "Exchange" else 0
+    children = plan.children()
+    return own + sum(_shuffled_bytes(children.apply(i)) for i in range(children.size()))
+
+
+def test_one_of_each_group_is_taken_without_a_shuffle_of_texts(spark, monkeypatch):
+    dice = random.Random(4)
+    texts = [" ".join(f"w{dice.randint(0, 10**6)}" for _ in range(700)) for _ in range(120)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(200 + i, texts[i]) for i in range(30)]
+    rows += [(0, texts[0]), (1, texts[3]), (None, texts[5]), (300, None), (300, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = [(i, t) for i, t in enumerate(texts) if i != 3] + [(1, texts[3]), (300, None), (300, "")]
+    in_order = lambda found: sorted(found, key=repr)
+    for key, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(key, value)
+    try:
+        docs = common.saved(docs, "texts")
+        kept = shingle_join.one_of_each(docs)
+        got = in_order(map(tuple, kept.collect()))
+        shuffled = _shuffled_bytes(kept._jdf.queryExecution().executedPlan())
+        assert got == in_order(want)
+        assert shuffled < 0.1 * sum(len(t or "") for _, t in rows)
+        # filters that let everything through leave the choice to the exact join
+        monkeypatch.setattr(shingle_join, "MOST_BITS", 0)
+        monkeypatch.setattr(shingle_join, "PART_BITS", 3)
+        assert in_order(map(tuple, shingle_join.one_of_each(docs).collect())) == got
+    finally:
+        for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(key)
+
+
+def test_marked_rows_are_those_of_the_ids_and_few_others(spark):
+    ids = spark.range(400).select(F.struct(F.when(F.col("id") != 3, F.col("id") * 7).alias("doc_id")).alias("id"))
+    rows = spark.range(20000).select(F.struct(F.when(F.col("id") != 21, F.col("id")).alias("doc_id")).alias("id"))
+    found = {r["id"]["doc_id"]: r["own"] for r in shingle_join._marked(rows, ids, "own").collect()}
+    own = {None if i == 3 else 7 * i for i in range(400)}
+    assert all(found[x] for x in own)
+    assert sum(found.values()) < len(own) + 0.02 * 20000
+    assert not any(r["own"] for r in shingle_join._marked(rows, ids.limit(0), "own").collect())
+
+
 def test_quality_follows_the_formula_and_keeps_odd_texts(spark, labels, odd, none, monkeypatch):
     texts = ["the cat sat on the mat", "the dog sat on the log", "a cat and a dog", "zzz###qqq$$$"]
     docs = documents(spark, texts)
