@@ -70,7 +70,8 @@ class Coder:
         self.tokens = {i: token for token, i in ranks.items()}
         self.sizes = {i: len(token) for token, i in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        # gives back the ids' own objects, not a new integer for each match, which the memory of pairs would keep
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
         for token, i in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()

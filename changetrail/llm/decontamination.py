@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_batches
+from .common import small_batches, tidy
 
 EDITS = 0.1
 ITEMS = 20_000
@@ -249,7 +249,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=schema.names)
 
-        found = found.unionByName(docs.select("doc_id", "text").mapInPandas(run, schema))
+        found = found.unionByName(docs.select("doc_id", "text").mapInPandas(tidy(run), schema))
     return found
 
 
@@ -258,8 +258,12 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
 
     def without(shared) -> Callable:
-        def clean(texts: pd.Series) -> pd.Series:
-            return pd.Series([not own for own in shared.value.search(list(texts))], dtype=bool)
+        def searched(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series([not own for own in shared.value.search(list(texts))], dtype=bool)
+
+        def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            yield from tidy(searched)(batches)
 
         return F.pandas_udf(clean, "boolean")
 

@@ -49,6 +49,14 @@ def none(spark):
     return documents(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int")
 
 
+def test_bpe_remembers_pairs_of_the_ids_own_objects():
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 1256, b"abc": 1257, b"bc": 1258}
+    coder = byte_pair_coding.Coder(ranks, r"\S+|\s+")
+    coder.encode_bytes(b"abcabbcab" * 3)
+    own = {id(x) for x in ranks.values()}
+    assert coder.pairs and all(id(x) in own for pair in coder.pairs for x in pair)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_sql(spark, sf_dir, name):
     assert rows_of_spark(QUERIES[name](spark, sf_dir)) == rows_of_duck(duck(sf_dir), ORACLE_SQL[name])
